@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from .neardup import op6_near_duplicates
 from .quality import op4_quality
 
 QUERIES = {
     "op4_quality": op4_quality,
+    "op6_near_duplicates": op6_near_duplicates,
 }
 ORACLES: dict[str, str] = {}
