@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from .decontaminate import op3_decontaminate
 from .neardup import op6_near_duplicates
 from .quality import op4_quality
 
 QUERIES = {
+    "op3_decontaminate": op3_decontaminate,
     "op4_quality": op4_quality,
     "op6_near_duplicates": op6_near_duplicates,
 }
