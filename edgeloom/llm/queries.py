@@ -5,10 +5,15 @@ from __future__ import annotations
 from .decontaminate import op3_decontaminate
 from .neardup import op6_near_duplicates
 from .quality import op4_quality
+from .secrets import ORACLE as SECRETS_SQL
+from .secrets import op5_secrets
 
 QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op4_quality": op4_quality,
+    "op5_secrets": op5_secrets,
     "op6_near_duplicates": op6_near_duplicates,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_secrets": SECRETS_SQL,
+}
