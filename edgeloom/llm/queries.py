@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import op3_decontaminate
 from .neardup import op6_near_duplicates
+from .packing import op7_packing
 from .quality import op4_quality
 from .secrets import ORACLE as SECRETS_SQL
 from .secrets import op5_secrets
@@ -13,6 +14,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_packing": op7_packing,
 }
 ORACLES: dict[str, str] = {
     "op5_secrets": SECRETS_SQL,
