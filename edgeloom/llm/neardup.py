@@ -11,9 +11,9 @@ under `MISS`; what meets is confirmed on the full sets.
 Equal sets are one class first, so copies never pair up. Under a key, members are
 compared with the key's smallest member, never all with all; components then tell
 which keys still hold members that aren't joined, and only those members are
-compared further: small groups across components, large ones after being dealt
-anew by an index of fresh hash functions, until nothing is open. No key's members
-ever meet in one task.
+compared further: in keys of up to `SMALL` members across components, and for
+larger ones exactly, across components, where rare shingles are shared. No key's
+members ever meet in one task.
 
 Defined cases: null and empty texts, and texts of white space only, have an empty
 set, link with nothing and are kept; rows whose id is null are kept with a null
@@ -28,17 +28,16 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, drop, mix, shingle_set, ship, written
 
 WIDTH = 4
 MISS = 2e-6
-#: A key's members are compared across components directly up to this number.
+#: A key's members are compared across components directly up to this number; beyond it
+#: `_sharing_rare` finds the pairs that may link, without loss.
 SMALL = 64
-#: Index levels of fresh hash functions after which open groups of any size are compared in pairs.
-LEVELS = 6
 
 
 def chunks_for(threshold: float, miss: float = MISS) -> int:
@@ -175,6 +174,34 @@ class _Sets:
         return written(both.where(F.pandas_udf(meets, "boolean")("a", "b")).select("u", "v").distinct(), "links")
 
 
+def _sharing_rare(s: DataFrame, with_comp, percent: int) -> DataFrame:
+    """Pairs (u, v) in different components that share one of their rarest shingles, from
+    (id, s). Sets that reach the threshold share a shingle among the first
+    n - ceil(n * percent / 100) + 1 of each in any common order, so no link is lost, and in
+    order of rarity the edits that keep a near copy out of a group come first: it meets
+    the members it may link with, not all of the group."""
+
+    def each(batches):
+        for pdf in batches:
+            sets = [np.frombuffer(x, np.int64) for x in pdf["s"]]
+            n = [len(x) for x in sets]
+            if sum(n):
+                yield pd.DataFrame({"g": np.concatenate(sets), "id": np.repeat(pdf["id"].to_numpy(), n), "n": np.repeat(n, n)})
+
+    e = written(s.mapInPandas(each, "g long, id long, n long"), "each")
+    freq = e.groupBy("g").agg(F.count("*").alias("f"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("f", "g"))
+    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    rare = e.join(freq, "g").withColumn("r", rank).where((F.col("r") <= first) & (F.col("f") > 1)).select("g", "id")
+    rare = written(with_comp(rare), "rare")
+    by = rare.groupBy("g", "c").agg(F.count("*").alias("k"))
+    main = by.groupBy("g").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
+    # members outside a shingle's largest component, against all under that shingle
+    few = rare.join(main, "g").where("c <> main").select("g", F.col("id").alias("x"), F.col("c").alias("cx"))
+    pairs = few.join(rare.select("g", F.col("id").alias("y"), F.col("c").alias("cy")), "g").where("cx <> cy")
+    return pairs.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs: documents whose
     sets of `words`-word shingles have 100 * intersection >= percent * union are
@@ -209,6 +236,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             .where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).drop("cu", "cv")
         )
 
+    def with_comp(ids: DataFrame) -> DataFrame:
+        """ids with the component c that each is in by now."""
+        if comp is None:
+            return ids.withColumn("c", F.col("id"))
+        return ids.join(comp.select(F.col("node").alias("id"), F.col("comp").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
+
+    def confirm(pairs: DataFrame) -> None:
+        near = written(_near(pairs, reps, ratio, far).select("u", "v"), "near")
+        s = sets.of(near)
+        add(near, s)
+        drop(s)
+        drop(near)
+
     def groups(index: DataFrame) -> DataFrame:
         """(key, id, pivot, size) for keys with two members or more."""
         g = index.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("size")).where("size > 1")
@@ -218,39 +258,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         pairs = g.where("id <> pivot").select(F.col("id").alias("u"), F.col("pivot").alias("v")).distinct()
         return written(_near(pairs, reps, ratio, far), "stars")
 
-    open_ = groups(_index(reps))
-    for level in range(LEVELS + 1):
-        star = stars(open_)
-        # one confirmed partner for each document settles most components: its smallest likely one
-        likely = F.struct((F.col("d") > (1 - ratio) * WIDTH * m).alias("far"), "v")
-        s = sets.of(star)
-        add(star.groupBy("u").agg(F.min(likely).alias("b")).select("u", "b.v"), s)
-        add(apart(star.select("u", "v")), s)
-        drop(s)
-        drop(star)
-        held = open_ if comp is None else open_.join(comp.toDF("id", "c"), "id", "left")
-        held = held.withColumn("c", F.coalesce("c", "id") if comp is not None else F.col("id"))
-        mixed = held.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-        left = written(held.join(mixed, "key", "left_semi"), "open")
-        small = left if level == LEVELS else left.where(F.col("size") <= SMALL)
-        a, b = small.select("key", F.col("id").alias("v"), F.col("c").alias("cv")), small.select("key", F.col("id").alias("u"), F.col("c").alias("cu"))
-        cross = a.join(b, "key").where("u > v and cu <> cv").select("u", "v").distinct()
-        cross = written(_near(cross, reps, ratio, far).select("u", "v"), "cross")
-        s = sets.of(cross)
-        add(cross, s)
-        drop(s)
-        drop(cross)
-        large = left.where(F.col("size") > SMALL)
-        if level == LEVELS or large.isEmpty():
-            break
-        # deal large open groups anew, by the old key and an index of fresh hash functions
-        ids = large.select("id").distinct()
-        fresh = written(_fresh(docs, doc_id, text, ids, words, m, level + 1), "fresh")
-        index = large.select("key", "id").join(_index(fresh).withColumnRenamed("key", "k2"), "id").select(F.xxhash64("key", "k2").alias("key"), "id").distinct()
-        nxt = groups(index)
-        drop(open_)
-        open_ = nxt
-    drop(open_)
+    index = groups(_index(reps))
+    star = stars(index)
+    # one confirmed partner for each document settles most components: its smallest likely one
+    likely = F.struct((F.col("d") > (1 - ratio) * WIDTH * m).alias("far"), "v")
+    s = sets.of(star)
+    add(star.groupBy("u").agg(F.min(likely).alias("b")).select("u", "b.v"), s)
+    add(apart(star.select("u", "v")), s)
+    drop(s)
+    drop(star)
+
+    # keys whose members are still in several components
+    held = with_comp(index)
+    mixed = held.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
+    left = written(held.join(mixed, "key", "left_semi"), "open")
+    drop(index)
+    small = left.where(F.col("size") <= SMALL)
+    a, b = small.select("key", F.col("id").alias("v"), F.col("c").alias("cv")), small.select("key", F.col("id").alias("u"), F.col("c").alias("cu"))
+    cross = a.join(b, "key").where("u > v and cu <> cv").select("u", "v").distinct()
+    confirm(cross)
+    rest = written(left.where(F.col("size") > SMALL).select("id").distinct(), "rest")
+    drop(left)
+    if not rest.isEmpty():
+        confirm(_sharing_rare(sets.of(rest.select(F.col("id").alias("u"), F.col("id").alias("v"))), with_comp, percent))
+    drop(rest)
 
     by_class = classes.select("cls", F.col("id").alias("rep"))
     if comp is not None:
@@ -262,19 +293,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return out.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), own.alias("component_id"), F.coalesce(F.col("id") == own, F.lit(True)).alias("kept"))
 
 
-def _fresh(docs: DataFrame, doc_id: str, text: str, ids: DataFrame, words: int, m: int, level: int) -> DataFrame:
-    """(id, sig) of the ids by the hash functions of another level."""
-
-    def run(batches):
-        for pdf in batches:
-            if len(pdf):
-                sig = signatures([shingle_set(t, words) for t in pdf["t"]], WIDTH * m, level)
-                yield pd.DataFrame({"id": pdf["id"], "sig": [row.tobytes() for row in sig]})
-
-    own = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"))
-    return own.join(ids, "id", "left_semi").mapInPandas(run, "id long, sig binary")
-
-
 def op6_near_duplicates(spark, sf_dir: str) -> DataFrame:
     from .common import read
 

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from .decontaminate import op3_decontaminate
+from .licenses import ORACLE as LICENSES_SQL
+from .licenses import op10_licenses
 from .neardup import op6_near_duplicates
 from .packing import op7_packing
 from .quality import op4_quality
 from .secrets import ORACLE as SECRETS_SQL
 from .secrets import op5_secrets
+from .sstable import op9_sstable
 
 QUERIES = {
     "op3_decontaminate": op3_decontaminate,
@@ -15,7 +18,10 @@ QUERIES = {
     "op5_secrets": op5_secrets,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_packing": op7_packing,
+    "op9_sstable": op9_sstable,
+    "op10_licenses": op10_licenses,
 }
 ORACLES: dict[str, str] = {
     "op5_secrets": SECRETS_SQL,
+    "op10_licenses": LICENSES_SQL,
 }
