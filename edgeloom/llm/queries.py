@@ -11,8 +11,11 @@ from .quality import op4_quality
 from .secrets import ORACLE as SECRETS_SQL
 from .secrets import op5_secrets
 from .sstable import op9_sstable
+from .urlfilter import ORACLE as URLS_SQL
+from .urlfilter import op2_urls
 
 QUERIES = {
+    "op2_urls": op2_urls,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
@@ -22,6 +25,7 @@ QUERIES = {
     "op10_licenses": op10_licenses,
 }
 ORACLES: dict[str, str] = {
+    "op2_urls": URLS_SQL,
     "op5_secrets": SECRETS_SQL,
     "op10_licenses": LICENSES_SQL,
 }
