@@ -61,7 +61,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 # --- tokenizer -------------------------------------------------------------
 
 #: Chunks of text whose ids a worker remembers.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 800_000
+#: Chunks encoded together in one text.
+JOINED = 256
 
 
 class ChunkEncoder:
@@ -69,34 +71,62 @@ class ChunkEncoder:
 
     Spaces and newlines end every piece of the word tokenizer's pre-tokenizer and
     are dropped, so a text's ids are those of its chunks between them, in order.
-    Each distinct chunk goes through the library once, and later ones come from a
-    bounded dictionary. `exact` verifies this property for the loaded vocabulary on
-    first use and falls back to whole texts where it doesn't hold.
+    Each distinct chunk goes through the library, and later ones come from a bounded
+    dictionary. New chunks of ASCII and Latin-1 characters are encoded many at a time,
+    joined by spaces: each pre-token ends in one id whose token ends a word, so
+    counting pre-tokens tells where a chunk's ids end. `exact` verifies the first
+    property for the loaded vocabulary and falls back to whole texts where it doesn't
+    hold; a joined text whose counts don't add up is encoded chunk by chunk.
     """
 
-    _probe = "It's a  test,\néá İX 12'll\nDON'T <|x|> 中文 àb"
+    _probe = "It's a  test,\néá İX 12'll\nDON'T <|x|> 中文 àb ÀÉ§÷×¼ª"
+    # pre-tokens of a lower-cased chunk of characters below U+0100
+    _pre = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+    _simple = re.compile(r"[!-~¡-¬®-ÿ]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        self.known: dict[str, bytes] = {}
         self.exact = self.whole(self._probe).tolist() == self.chunked([self._probe])[0].tolist()
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
+    def _alone(self, chunks: list[str]) -> None:
+        for chunk, enc in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)):
+            self.known[chunk] = np.array(enc.ids, dtype=np.uint32).tobytes()
+
+    def learn(self, new: list[str]) -> None:
+        simple = [c for c in new if self._simple.fullmatch(c) and "<|" not in c]
+        if len(simple) < len(new):
+            left = set(new).difference(simple)
+            self._alone(list(left))
+        blocks = [simple[at : at + JOINED] for at in range(0, len(simple), JOINED)]
+        found = self.tokenizer.encode_batch_fast([" ".join(b) for b in blocks], add_special_tokens=False)
+        for block, enc in zip(blocks, found):
+            ids = np.array(enc.ids, dtype=np.uint32)
+            last = np.flatnonzero(self.ends[ids]) + 1
+            pre = np.cumsum([1 if c.isalpha() else len(self._pre.findall(c.lower())) for c in block])
+            if len(last) != pre[-1]:
+                self._alone(block)
+                continue
+            raw, at = ids.tobytes(), 0
+            for chunk, end in zip(block, (last[pre - 1] * 4).tolist()):
+                self.known[chunk] = raw[at:end]
+                at = end
+
     def chunked(self, texts: list[str]) -> list[np.ndarray]:
         known = self.known
         if len(known) > CACHE_CHUNKS:
             known.clear()
         parts = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*parts).difference(known) if parts else set()
-        new = list(new)
-        for at in range(0, len(new), 4096):
-            block = new[at : at + 4096]
-            for chunk, enc in zip(block, self.tokenizer.encode_batch_fast(block, add_special_tokens=False)):
-                known[chunk] = np.array(enc.ids, dtype=np.uint32).tobytes()
+        new = {c for p in parts for c in p if c not in known}
+        if new:
+            self.learn(list(new))
         return [np.frombuffer(b"".join(map(known.__getitem__, p)), dtype=np.uint32) for p in parts]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:

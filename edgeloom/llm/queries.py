@@ -11,10 +11,12 @@ from .quality import op4_quality
 from .secrets import ORACLE as SECRETS_SQL
 from .secrets import op5_secrets
 from .sstable import op9_sstable
+from .toxicity import op1_toxicity
 from .urlfilter import ORACLE as URLS_SQL
 from .urlfilter import op2_urls
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_urls": op2_urls,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality": op4_quality,
