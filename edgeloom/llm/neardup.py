@@ -118,7 +118,7 @@ def _index(reps: DataFrame) -> DataFrame:
     return reps.select("id", "sig").mapInPandas(run, "key long, id long")
 
 
-def _near(pairs: DataFrame, reps: DataFrame, ratio: float, far: int) -> DataFrame:
+def _near(pairs: DataFrame, reps: DataFrame, percent: int, far: int) -> DataFrame:
     """Of the pairs (u, v), those within signature distance `far` and of like size, with the distance."""
     r = reps.select("id", "n", "sig")
 
@@ -131,7 +131,7 @@ def _near(pairs: DataFrame, reps: DataFrame, ratio: float, far: int) -> DataFram
 
     distance.__annotations__ = {"a": pd.Series, "b": pd.Series, "return": pd.Series}
     both = pairs.join(r.toDF("u", "nu", "su"), "u").join(r.toDF("v", "nv", "sv"), "v")
-    both = both.where(F.least("nu", "nv") >= F.greatest("nu", "nv") * F.lit(ratio))
+    both = both.where(100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv"))
     return both.withColumn("d", F.pandas_udf(distance, "int")("su", "sv")).where(F.col("d") <= far).select("u", "v", "d")
 
 
@@ -243,7 +243,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return ids.join(comp.select(F.col("node").alias("id"), F.col("comp").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
 
     def confirm(pairs: DataFrame) -> None:
-        near = written(_near(pairs, reps, ratio, far).select("u", "v"), "near")
+        near = written(_near(pairs, reps, percent, far).select("u", "v"), "near")
         s = sets.of(near)
         add(near, s)
         drop(s)
@@ -256,7 +256,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def stars(g: DataFrame) -> DataFrame:
         pairs = g.where("id <> pivot").select(F.col("id").alias("u"), F.col("pivot").alias("v")).distinct()
-        return written(_near(pairs, reps, ratio, far), "stars")
+        return written(_near(pairs, reps, percent, far), "stars")
 
     index = groups(_index(reps))
     star = stars(index)
