@@ -11,6 +11,7 @@ from .quality import op4_quality
 from .secrets import ORACLE as SECRETS_SQL
 from .secrets import op5_secrets
 from .sstable import op9_sstable
+from .suffix import op8_suffix_dedup
 from .toxicity import op1_toxicity
 from .urlfilter import ORACLE as URLS_SQL
 from .urlfilter import op2_urls
@@ -23,6 +24,7 @@ QUERIES = {
     "op5_secrets": op5_secrets,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_packing": op7_packing,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_sstable": op9_sstable,
     "op10_licenses": op10_licenses,
 }
