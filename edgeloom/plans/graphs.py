@@ -14,8 +14,8 @@ def spans(spark: SparkSession, d: str) -> DataFrame:
     """Events as spans: the parent is the user's event before."""
     before = Window.partitionBy("user_id").orderBy("ts", "event_id")
     return table(spark, d, "events").select(
-        F.col("user_id").cast("string").alias("trace_id"), F.col("event_id").cast("string").alias("span_id"),
-        F.lag("event_id").over(before).cast("string").alias("parent_id"), F.col("event_type").alias("service"), "ts",
+        F.col("user_id").cast("string").alias("trace_id"), F.concat(F.lit("e"), "event_id").alias("span_id"),
+        F.concat(F.lit("e"), F.lag("event_id").over(before)).alias("parent_id"), F.col("event_type").alias("service"), "ts",
     )
 
 
