@@ -191,7 +191,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         return []
     chosen = spark.createDataFrame([(int(i), int(q)) for i, q in picked.itertuples(index=False)], "__id long, __quality int")
     rows = with_stats(docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__id"), "__text")
-    got = rows.where(~base_failed()).select("__id", "__quality", *[f().alias(k) for k, f in FEATURES.items()]).toPandas()
+    # limits apply after collecting: a filter on the statistics would be pushed below the join
+    got = rows.select("__id", "__quality", base_failed().alias("__failed"), *[f().alias(k) for k, f in FEATURES.items()]).toPandas()
+    got = got[~got["__failed"]]
     if not len(got):
         return []
     got = got.sort_values(["__id"], kind="stable")
