@@ -136,7 +136,8 @@ def matches(text: str | None, w: Windows) -> list[tuple[int, int, int, int]]:
         counts = counts + np.where(band[nxt] == band + 1, counts[nxt], 0)
         for b in band[counts >= w.need[band // stride]].tolist():
             v, k = b // stride, int(w.k[b // stride])
-            d, end = banded(w.codes[v], part, (b % stride) * (k + 1) - margin, 2 * (k + 1), k)
+            # the passage may begin on up to k diagonals below the first that a shared gram is on
+            d, end = banded(w.codes[v], part, (b % stride) * (k + 1) - margin - k, 3 * k + 2, k)
             if d <= k:
                 out.append((v, start + end - len(w.codes[v]), start + end, d))
     return out

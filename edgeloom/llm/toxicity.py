@@ -182,7 +182,7 @@ def seeds() -> dict[str, tuple[int, float]]:
 
 
 #: Weights without labels: intercept, patterns, total, largest, kinds, length, density.
-PRIOR = np.array([-2.0, 0.2, 0.2, 2.5, 2.0, 1.5, 0.8, 0.8, 0.3, 0.5, -0.1, 0.5])
+PRIOR = np.array([-2.0, 0.2, 0.2, 3.8, 2.0, 1.5, 0.8, 0.8, 0.3, 0.5, -0.1, 0.5])
 
 
 def held_out(doc_id: Column) -> Column:
