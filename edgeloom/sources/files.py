@@ -21,7 +21,7 @@ def files(spark: SparkSession, path: str, pattern: str | None = None, recursive:
     root = path.removeprefix("file://").rstrip("/")
     own = F.regexp_replace("path", r"^file:/*", "/")
     rel = F.when(F.startswith(own, F.lit(root + "/")), F.substring(own, len(root) + 2, 1 << 20)).otherwise(F.element_at(F.split(own, "/"), -1))
-    return reader.load(path).select(rel.alias("path"), F.decode("content", F.lit("UTF-8")).alias("content"))
+    return reader.load(path).select(rel.alias("path"), F.col("content").cast("string").alias("content"))
 
 
 def facts(table: DataFrame, fmt: str | Column, strict: bool = True) -> DataFrame:

@@ -80,5 +80,5 @@ def arrow_edges(lines: DataFrame, column: str = "value") -> DataFrame:
 
 def graph_documents(spark: SparkSession, path: str) -> DataFrame:
     """(path, src, dst, ord, rejected) of JSON graph files: an object with edges, or an array."""
-    raw = spark.read.format("binaryFile").load(path).select("path", F.decode("content", F.lit("UTF-8")).alias("content"))
+    raw = spark.read.format("binaryFile").load(path).select("path", F.col("content").cast("string").alias("content"))
     return text_edges(raw)
