@@ -23,26 +23,38 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.judge(docs, rules).where("__kept").select(*DOCUMENTS)
 
 
+#: Up to so many ids (16 MB), or spans of so many documents (10 MB or so), are broadcast; more are joined by a shuffle.
+BROADCAST_IDS, BROADCAST_SPANS = 1_000_000, 50_000
+
+
+def _counted(df: DataFrame, most: int) -> DataFrame:
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of each group of near copies (5-word shingles, similarity 0.8)."""
     judged = neardup.near_duplicates(docs, words=5, percent=80)
-    gone = judged.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*DOCUMENTS)
+    gone = common.written(judged.where(~F.col("kept")).select("doc_id").distinct(), "gone")
+    return docs.join(_counted(gone, BROADCAST_IDS), "doc_id", "left_anti").select(*DOCUMENTS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
     found = common.written(decontaminate.leaks(docs, common.read(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "leaks")
-    return docs.join(found, "doc_id", "left_anti").select(*DOCUMENTS)
+    return docs.join(_counted(found, BROADCAST_IDS), "doc_id", "left_anti").select(*DOCUMENTS)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document; spans with a secret that is no copied example are masked in its text."""
-    found = secrets.with_spans(docs, keep=DOCUMENTS)
+    keyed = docs.withColumn("__key", F.xxhash64("text"))
+    found = secrets.with_spans(keyed, keep=("doc_id", "__key"))
     hit = F.filter(F.array_sort(F.concat("__base", "__added")), lambda x: ~F.array_contains("__examples", x))
-    text = secrets.masked(F.col("text"), hit)
-    n_chars = F.when(F.size(hit) > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
-    return found.select("doc_id", text.alias("text"), "lang", "source", n_chars.alias("n_chars"))
+    found = found.select(F.col("doc_id").alias("__id"), F.col("__key").alias("__k"), hit.alias("__hit")).where(F.size("__hit") > 0).distinct()
+    found = common.written(found, "secrets")
+    both = keyed.join(_counted(found, BROADCAST_SPANS), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__k")), "left")
+    text = F.when(F.col("__hit").isNull(), F.col("text")).otherwise(secrets.masked(F.col("text"), F.col("__hit")))
+    n_chars = F.when(F.col("__hit").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))
+    return both.select("doc_id", text.alias("text"), "lang", "source", n_chars.alias("n_chars"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -456,6 +456,15 @@ def test_queries_with_sql(spark):
         assert key(got) == key(want), name
 
 
+def test_secret_stage(spark):
+    import corpus_pipeline as p
+
+    rows = [(1, 'a token = "0123456789abcdef0123456789" b', "en", "s", 40), (2, None, "en", "s", 0), (3, "plain é", None, None, None), (3, "plain é", None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = sorted((tuple(r) for r in p.secret_scans(spark, docs, "").collect()), key=repr)
+    assert out == sorted([(1, 'a [SECRET]" b', "en", "s", 13), *rows[1:]], key=repr)
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
 def test_pipeline(spark):
     import corpus_pipeline as p
@@ -474,7 +483,7 @@ def test_pipeline(spark):
             clean = {i for i, t in before.items() if not any(x in " ".join(t.lower().split()) for x in items)}
             assert set(after) == clean
         elif name == "secret_scans":
-            assert set(after) == set(before) and any(t != before[i] for i, t in after.items())
+            assert set(after) == set(before) and all(('[SECRET]' in t) == (t != before[i]) for i, t in after.items())
             assert all(re.search(secrets.ASSIGN, before[i]) for i, t in after.items() if t != before[i] and "token" in before[i])
         docs = new
     packed = p.STAGES[-1][1](spark, docs, DATA)
