@@ -192,13 +192,17 @@ def _sharing_rare(s: DataFrame, with_comp, percent: int) -> DataFrame:
     freq = e.groupBy("g").agg(F.count("*").alias("f"))
     rank = F.row_number().over(Window.partitionBy("id").orderBy("f", "g"))
     first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    rare = e.join(freq, "g").withColumn("r", rank).where((F.col("r") <= first) & (F.col("f") > 1)).select("g", "id")
+    rare = e.join(freq, "g").withColumn("r", rank).where((F.col("r") <= first) & (F.col("f") > 1)).select("g", "id", "n", "r")
     rare = written(with_comp(rare), "rare")
     by = rare.groupBy("g", "c").agg(F.count("*").alias("k"))
     main = by.groupBy("g").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
     # members outside a shingle's largest component, against all under that shingle
-    few = rare.join(main, "g").where("c <> main").select("g", F.col("id").alias("x"), F.col("c").alias("cx"))
-    pairs = few.join(rare.select("g", F.col("id").alias("y"), F.col("c").alias("cy")), "g").where("cx <> cy")
+    few = rare.join(main, "g").where("c <> main").selectExpr("g", "id as x", "c as cx", "n as nx", "r as rx")
+    rest = rare.selectExpr("g", "id as y", "c as cy", "n as ny", "r as ry")
+    # at the first shingle that two sets share, what is left of both bounds their intersection
+    most = F.least(F.col("nx") - F.col("rx"), F.col("ny") - F.col("ry")) + 1
+    enough = (100 + percent) * most >= percent * (F.col("nx") + F.col("ny"))
+    pairs = few.join(rest, (few["g"] == rest["g"]) & (F.col("cx") != F.col("cy")) & enough)
     return pairs.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
 
 
