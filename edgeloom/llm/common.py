@@ -15,13 +15,21 @@ from pyspark.sql import functions as F
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Texts that go to a Python worker at a time: rows are long here, and Spark's default of
+#: 10,000 holds some 100 MB on both sides of each task.
+ROWS_AT_A_TIME = 1_000
+
+
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package when the driver found it outside
-    their path. A cluster gets the package by --py-files as usual."""
+    their path (a cluster gets it by --py-files as usual), and keep Arrow batches small
+    unless the session sets their size itself."""
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_A_TIME))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -161,7 +169,7 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 class WordHashes(dict):
     """Word bytes to 64-bit hashes, remembered up to a bound."""
 
-    LIMIT = 1_000_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
