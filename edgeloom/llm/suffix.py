@@ -2,6 +2,7 @@
 
 The question: which bytes lie in a string of `length` bytes that also starts in a
 document with a smaller identifier. It is answered in four steps.
+A text that a smaller document has too, whole, goes at once and takes no further part.
 
 1  Anchors. Of every `length`-byte window the q-gram with the least hash is its anchor
    (a minimizer), so equal windows have equal anchors. Anchor hashes go to shards by
@@ -33,6 +34,7 @@ only the identifier and the text are read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import tempfile
@@ -44,7 +46,7 @@ from pyspark.sql import functions as F
 
 from .common import drop, mix, ship, written
 
-LENGTH, Q = 50, 32
+LENGTH, Q = 50, 24
 #: Anchors of one shard, about, and queue entries that stay in memory.
 PER_SHARD, MEMORY = 4_000_000, 2_000_000
 #: Bytes of text whose anchors are found at a time.
@@ -69,14 +71,19 @@ def _least(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def gram_hashes(b: np.ndarray, q: int) -> np.ndarray:
-    """Hash of the q bytes from each place on: q a power of two, by doubling."""
-    h = b.astype(np.uint64) + np.uint64(0x9E37)
-    width = 1
-    while width < q:
+    """Hash of the q bytes from each place on, by doubling and the bits of q."""
+    join = lambda x, y, f: x * np.uint64(f) + (y ^ (y >> np.uint64(29)))
+    h, width, out, done = b.astype(np.uint64) + np.uint64(0x9E37), 1, None, 0
+    while True:
+        if q & width:  # out is of `done` bytes; what it lacks is put before it
+            n = len(b) - (done + width) + 1
+            out = h[:n] if out is None else join(h[:n], out[width : width + n], 0xD6E8FEB86659FD93 + 2 * width)
+            done += width
+        if width * 2 > q:
+            return mix(out)
         # a different odd factor at each width keeps places apart
-        h = h[:-width] * np.uint64(0x9E3779B97F4A7C15 + 2 * width) + (h[width:] ^ (h[width:] >> np.uint64(29)))
+        h = join(h[:-width], h[width:], 0x9E3779B97F4A7C15 + 2 * width)
         width *= 2
-    return mix(h)
 
 
 def window_hashes(b: np.ndarray, length: int, q: int) -> tuple[np.ndarray, np.ndarray]:
@@ -188,12 +195,12 @@ def _shared(packed: DataFrame) -> DataFrame:
 
 
 def _segments(docs: DataFrame, length: int, q: int) -> DataFrame:
-    """(id, pos, h, seg) of the occurrences of shared anchors, from (id, t, hs)."""
+    """(id, x, pos, h, seg) of the occurrences of shared anchors, from (id, x, t, hs)."""
 
     def run(batches):
         for pdf in batches:
-            ids, pos, hashes, segs = [], [], [], []
-            for i, t, hs in zip(pdf["id"], pdf["t"], pdf["hs"]):
+            ids, keys, pos, hashes, segs = [], [], [], [], []
+            for i, x, t, hs in zip(pdf["id"], pdf["x"], pdf["t"], pdf["hs"]):
                 b = _bytes(t)
                 wanted = np.unique(np.asarray(hs, np.int64).view(np.uint64))
                 for a in range(0, max(0, len(b) - length + 1), CHUNK):
@@ -201,12 +208,13 @@ def _segments(docs: DataFrame, length: int, q: int) -> DataFrame:
                     raw = part.tobytes()
                     for h, first, last in zip(*(x.tolist() for x in segments(part, length, q, wanted))):
                         ids.append(i)
+                        keys.append(x)
                         pos.append(a + first)
                         hashes.append(h)
                         segs.append(raw[first : last + length])
-            yield pd.DataFrame({"id": np.array(ids, np.int64), "pos": np.array(pos, np.int64), "h": np.array(hashes, np.int64), "seg": segs})
+            yield pd.DataFrame({"id": np.array(ids, np.int64), "x": np.array(keys, np.int64), "pos": np.array(pos, np.int64), "h": np.array(hashes, np.int64), "seg": segs})
 
-    return docs.mapInPandas(run, "id long, pos long, h long, seg binary")
+    return docs.mapInPandas(run, "id long, x long, pos long, h long, seg binary")
 
 
 # --- 3: external induced sorting ---------------------------------------------------
@@ -452,23 +460,45 @@ def smallest_documents(segs: list[bytes], docs: np.ndarray, length: int, memory:
 # --- 4: spans -----------------------------------------------------------------------
 
 
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(id, x, t): identifier, a key of the text, and the text; null is empty."""
+    t = F.coalesce(F.col(text), F.lit(""))
+    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("id"), F.xxhash64(t).alias("x"), t.alias("t"))
+
+
+def _counted(df: DataFrame, most: int) -> DataFrame:
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def _settle(spark) -> None:
+    """Let Spark remove the shuffle files of DataFrames that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, q: int = Q, per_shard: int = PER_SHARD) -> DataFrame:
-    """(id, spans): for documents with bytes to remove, their [start, end) byte spans, in
-    order and apart."""
-    ship(docs.sparkSession)
-    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text).alias("t"))
+    """(id, x, spans): for documents with bytes to remove, by identifier and text key, their
+    [start, end) byte spans, in order and apart."""
+    spark = docs.sparkSession
+    ship(spark)
+    every = _keyed(docs, doc_id, text).where(F.octet_length("t") >= length)
+    # a whole text that a smaller document has too goes by itself, and stands for nothing else
+    whole = every.select("id", "x", F.octet_length("t").cast("long").alias("n"), F.sha2("t", 256).alias("same"))
+    first = whole.groupBy("same").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
+    copies = written(whole.join(first.select("same", "least"), "same").where("id > least").select("id", "x", "n").distinct(), "copies")
+    rows = every.join(_counted(copies.select("id", "x"), BROADCAST_IDS), ["id", "x"], "left_anti")
     size = rows.agg(F.sum(F.octet_length("t")).alias("n")).first()["n"] or 0
     shards = 1 + int(2 * size / (length - q + 2) / per_shard)
     shared = written(_shared(_anchor_rows(rows, length, q, shards)), "shared")
+    _settle(spark)
     held = shared.groupBy("id").agg(F.collect_set("h").alias("hs"))  # of one document's anchors
-    ids = shared.select("id").distinct()
-    some = rows.join(F.broadcast(ids), "id", "left_semi") if ids.count() <= BROADCAST_IDS else rows
+    some = rows.join(_counted(shared.select("id").distinct(), BROADCAST_IDS), "id", "left_semi")
     occ = written(_segments(some.join(held, "id"), length, q).withColumn("k", F.xxhash64("seg")), "occurrences")
     drop(shared)
-    distinct = occ.groupBy("h", "k", "seg").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-    n = distinct.count()
-    parts = 1 + n // 200_000
-    distinct = distinct.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(parts)).cast("int"))
+    _settle(spark)
+    distinct = written(occ.groupBy("h", "k", "seg").agg(F.min("id").alias("least"), F.max("id").alias("most")), "distinct")
+    parts = 1 + distinct.count() // 200_000
+    _settle(spark)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         found = smallest_documents(pdf["seg"].tolist(), pdf["least"].to_numpy(), length)
@@ -476,26 +506,42 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         rows = [(h, k, *r) for h, k, most, own in zip(pdf["h"], pdf["k"], pdf["most"], found) for r in own if r[2] < most]
         return pd.DataFrame(rows, columns=["h", "k", "a", "b", "least"])
 
-    runs = distinct.groupBy("shard").applyInPandas(run, "h long, k long, a long, b long, least long")
-    covered = occ.join(runs, ["h", "k"]).where("least < id").select("id", (F.col("pos") + F.col("a")).alias("s"), (F.col("pos") + F.col("b") + length).alias("e"))
+    sharded = distinct.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(parts)).cast("int"))
+    runs = written(sharded.groupBy("shard").applyInPandas(run, "h long, k long, a long, b long, least long"), "runs")
+    drop(distinct)
+    _settle(spark)
+    covered = occ.select("id", "x", "pos", "h", "k").join(runs, ["h", "k"]).where("least < id").select("id", "x", (F.col("pos") + F.col("a")).alias("s"), (F.col("pos") + F.col("b") + length).alias("e"))
     # one document's spans, merged; as many as its own text can hold
-    spans = covered.groupBy("id").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("all"))
-    first = F.expr("cast(array() as array<struct<s:bigint,e:bigint>>)")
-    step = lambda acc, x: F.when(
-        (F.size(acc) > 0) & (F.element_at(acc, -1)["e"] >= x["s"]),
-        F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["s"].alias("s"), F.greatest(F.element_at(acc, -1)["e"], x["e"]).alias("e")))),
-    ).otherwise(F.concat(acc, F.array(x)))
-    return written(spans.select("id", F.aggregate("all", first, step).alias("spans")), "spans")
+    spans = covered.groupBy("id", "x").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("all"))
+
+    def merged(batches):
+        for pdf in batches:
+            out = []
+            for found in pdf["all"]:
+                own = []
+                for s, e in ((v["s"], v["e"]) for v in found):
+                    if own and own[-1][1] >= s:
+                        own[-1] = (own[-1][0], max(own[-1][1], e))
+                    else:
+                        own.append((s, e))
+                out.append([{"s": s, "e": e} for s, e in own])
+            yield pd.DataFrame({"id": pdf["id"], "x": pdf["x"], "spans": out})
+
+    kind = "id long, x long, spans array<struct<s:long,e:long>>"
+    gone = copies.select("id", "x", F.array(F.struct(F.lit(0).cast("long").alias("s"), F.col("n").alias("e"))).alias("spans"))
+    out = written(spans.mapInPandas(merged, kind).unionByName(gone), "spans")
+    drop(occ)
+    drop(runs)
+    return out
 
 
 def remove(docs: DataFrame, spans: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes; null where nothing goes)."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    key = F.coalesce("doc_id", F.lit(NULL_ID))
-    n = spans.count()
-    own = F.broadcast(spans) if n <= 50_000 else spans
-    both = rows.withColumn("id", key).join(own, "id", "left")
-    whole = both.where("spans is null").select("doc_id", F.octet_length("t").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(F.col("t").cast("binary"), 256).alias("kept_sha256"))
+    """Per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    rows = _keyed(docs, doc_id, text).withColumn("doc_id", F.when(F.col("id") != NULL_ID, F.col("id")))
+    # of most rows nothing goes: which do is known by their keys alone, and only those meet their spans
+    keys = _counted(spans.select("id", "x", F.lit(True).alias("hit")), BROADCAST_IDS)
+    marked = rows.join(keys, ["id", "x"], "left")
+    whole = marked.where("hit is null").select("doc_id", F.octet_length("t").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(F.col("t").cast("binary"), 256).alias("kept_sha256"))
 
     def cut(batches):
         for pdf in batches:
@@ -509,7 +555,8 @@ def remove(docs: DataFrame, spans: DataFrame, doc_id: str = "doc_id", text: str
                 out.append((i, len(b), len(b) - len(kept), len(s), hashlib.sha256(kept).hexdigest()))
             yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]).astype({"doc_id": "Int64"})
 
-    return whole.unionByName(both.where("spans is not null").select("doc_id", "t", "spans").mapInPandas(cut, whole.schema))
+    hit = marked.where("hit").join(spans, ["id", "x"])
+    return whole.unionByName(hit.select("doc_id", "t", "spans").mapInPandas(cut, whole.schema))
 
 
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:
