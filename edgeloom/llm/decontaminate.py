@@ -7,7 +7,13 @@ one window. A window within k edits of a passage shares at least
 `length + 1 - q * (k + 1)` of its q-grams with it (q-gram lemma), on diagonals that
 differ by k at most; so hits are counted in bands of 2(k + 1) diagonals that overlap
 by half, and only bands that meet the bound are verified, by an alignment of the whole
-window within the band. The filter loses nothing; what is reported is within the budget.
+window within the band. The filter loses no passage that is within the budget of a window.
+
+Where no such window is found, an item's short ones are tried: `SHORT` characters at a
+stride of `STRIDE` and from each word that begins a run of `WORDS` words (the run itself
+where it is shorter). So every verbatim excerpt of 13 whole words, and every one of
+SHORT + STRIDE - 1 = 61 characters, is found; a less exact one where a short window of it
+is within 3 edits (fewer for shorter runs). Excerpts below both limits may be missed.
 
 The benchmark is the stated query set: it is read in blocks of `block_chars`
 characters, each shipped to one scan of the documents. Documents of any length are
@@ -29,6 +35,8 @@ from pyspark.sql import functions as F
 from .common import mix, ship
 
 Q, WINDOW, EDITS, LEAST = 8, 96, 0.07, 40
+#: Short windows: their characters, the steps between them, and the words that hold one wherever they begin.
+SHORT, STRIDE, WORDS = 50, 12, 13
 BLOCK_CHARS = 4_000_000
 #: Characters of a document that are scanned at a time.
 SCAN = 1_000_000
@@ -53,31 +61,43 @@ def grams(codes: np.ndarray, q: int) -> np.ndarray:
 
 
 class Windows:
-    """Windows of benchmark items with an index of their q-grams."""
+    """Windows of benchmark items, and an index of the items' q-grams."""
 
-    def __init__(self, items: list[tuple[int, str]], q: int, window: int, edits: float, least: int):
+    def __init__(self, items: list[tuple[int, str]], q: int, window: int, edits: float, least: int,
+                 short: int = SHORT, stride: int = STRIDE, words: int = WORDS):
         self.q = q
-        self.codes, self.item, self.at = [], [], []
-        for item, text in items:
-            c = normal(text)
+        self.texts, self.item = [], []
+        text, at, size, brief, self.first_window = [], [], [], [], [0]
+        for item, own in items:
+            c = normal(own)
             if len(c) < max(least, q):
                 continue
             width = min(window, len(c))
-            starts = [*range(0, len(c) - width, max(1, width // 2)), len(c) - width]
-            for s in dict.fromkeys(starts):
-                self.codes.append(c[s : s + width])
-                self.item.append(item)
-                self.at.append(s)
-        size = np.array([len(c) for c in self.codes], np.int64)
+            spans = dict.fromkeys((s, width) for s in [*range(0, len(c) - width, max(1, width // 2)), len(c) - width])
+            n = len(spans)
+            spans.update(dict.fromkeys(short_spans(c, short, stride, words)))
+            text += [len(self.texts)] * len(spans)
+            at += [s for s, _ in spans]
+            size += [m for _, m in spans]
+            brief += [i >= n for i in range(len(spans))]
+            self.texts.append(c)
+            self.item.append(item)
+            self.first_window.append(len(text))
+        self.text, self.at, self.size = (np.array(x, np.int64) for x in (text, at, size))
+        self.brief = np.array(brief, bool)
         # the budget is what still leaves the lemma a bound of at least one gram
-        self.k = np.minimum((size * edits).astype(np.int64), np.maximum(0, size // q - 1))
-        self.need = size + 1 - q * (self.k + 1)
-        g = [grams(c, q) for c in self.codes]
+        self.k = np.minimum((self.size * edits).astype(np.int64), np.maximum(0, self.size // q - 1))
+        self.need = self.size + 1 - q * (self.k + 1)
+        starts = np.array(self.first_window[:-1], np.int64)
+        self.most_k = np.maximum.reduceat(self.k, starts) if len(starts) else self.k
+        self.least_need = np.minimum.reduceat(self.need, starts) if len(starts) else self.need
+        self.longest = max(map(len, self.texts), default=0)
+        g = [grams(c, q) for c in self.texts]
         hashes = np.concatenate(g) if g else np.empty(0, np.uint64)
-        win = np.repeat(np.arange(len(g)), [len(x) for x in g]) if g else np.empty(0, np.int64)
+        own = np.repeat(np.arange(len(g)), [len(x) for x in g]) if g else np.empty(0, np.int64)
         pos = np.concatenate([np.arange(len(x)) for x in g]) if g else np.empty(0, np.int64)
         order = np.argsort(hashes, kind="stable")
-        self.win, self.pos = win[order].astype(np.int64), pos[order].astype(np.int64)
+        self.own, self.pos = own[order].astype(np.int64), pos[order].astype(np.int64)
         self.keys, self.first = np.unique(hashes[order], return_index=True)
         self.count = np.diff(np.append(self.first, len(hashes)))
         bits = max(16, int(np.ceil(np.log2(max(1, len(self.keys)) * 16))))
@@ -85,6 +105,18 @@ class Windows:
         self.map = np.zeros(1 << bits, bool)
         self.map[(self.keys >> self.shift).astype(np.int64)] = True
 
+    def codes(self, v: int) -> np.ndarray:
+        return self.texts[self.text[v]][self.at[v] : self.at[v] + self.size[v]]
+
+
+def short_spans(c: np.ndarray, short: int, stride: int, words: int) -> list[tuple[int, int]]:
+    """(start, length) of the short windows of an item: one at each multiple of `stride`,
+    one at the end, and one at the start of each run of `words` words, no longer than the run."""
+    out = [(s, short) for s in [*range(0, len(c) - short, stride), len(c) - short]] if len(c) >= short else []
+    gaps = np.flatnonzero(c == 32)
+    first, end = np.append(0, gaps + 1), np.append(gaps, len(c))
+    return out + [(s, min(short, e - s)) for s, e in zip(first.tolist(), end[words - 1 :].tolist())]
+
 
 def banded(p: np.ndarray, t: np.ndarray, lo: int, width: int, k: int) -> tuple[int, int]:
     """Least edits of p against a substring of t on diagonals lo to lo + width, at most
@@ -112,7 +144,7 @@ def matches(text: str | None, w: Windows) -> list[tuple[int, int, int, int]]:
     if not len(w.keys):
         return out
     codes = normal(text)
-    margin = 2 * max(len(c) for c in w.codes)
+    margin = 2 * int(w.size.max())
     for start in range(0, max(1, len(codes)), SCAN):
         part = codes[start : start + SCAN + margin]
         h = grams(part, w.q)
@@ -127,19 +159,39 @@ def matches(text: str | None, w: Windows) -> list[tuple[int, int, int, int]]:
         if not hits:
             continue
         entry = np.repeat(w.first[found] - np.cumsum(n) + n, n) + np.arange(hits)
-        win = w.win[entry]
+        own, pos = w.own[entry], w.pos[entry]
         # halves of k + 1 diagonals; a band is two halves, so bands overlap by one
-        half = (np.repeat(at, n) - w.pos[entry] + margin) // (w.k[win] + 1)
-        stride = len(part) + 2 * margin
-        band, counts = np.unique(win * stride + half, return_counts=True)
+        half = (np.repeat(at, n) - pos + w.longest) // (w.most_k[own] + 1)
+        stride = len(part) + 2 * w.longest
+        key = own * stride + half
+        order = np.argsort(key, kind="stable")
+        key, pos = key[order], pos[order]
+        band, first = np.unique(key, return_index=True)
+        counts = np.diff(np.append(first, hits))
         nxt = np.minimum(np.searchsorted(band, band + 1), len(band) - 1)
         counts = counts + np.where(band[nxt] == band + 1, counts[nxt], 0)
-        for b in band[counts >= w.need[band // stride]].tolist():
-            v, k = b // stride, int(w.k[b // stride])
-            # the passage may begin on up to k diagonals below the first that a shared gram is on
-            d, end = banded(w.codes[v], part, (b % stride) * (k + 1) - margin - k, 3 * k + 2, k)
-            if d <= k:
-                out.append((v, start + end - len(w.codes[v]), start + end, d))
+        # an item has no fewer hits in a band than any of its windows
+        full = np.flatnonzero(counts >= w.least_need[band // stride])
+        whole: set[int] = set()
+        for brief in (False, True):
+            for b, i, m in zip(band[full].tolist(), first[full].tolist(), counts[full].tolist()):
+                x = b // stride
+                if brief and x in whole:
+                    continue
+                mine = np.arange(w.first_window[x], w.first_window[x + 1])
+                mine = mine[w.brief[mine] == brief]
+                p = np.sort(pos[i : i + m])
+                shared = np.searchsorted(p, w.at[mine] + w.size[mine] - w.q, "right") - np.searchsorted(p, w.at[mine])
+                most = int(w.most_k[x])
+                for v in mine[shared >= w.need[mine]].tolist():
+                    k, size = int(w.k[v]), int(w.size[v])
+                    # the passage may begin on up to k diagonals below the first that a shared gram is on
+                    lo = (b % stride) * (most + 1) - w.longest + int(w.at[v]) - most
+                    d, end = banded(w.codes(v), part, lo, 3 * most + 2, k)
+                    if d <= k:
+                        out.append((v, start + end - size, start + end, d))
+                        if not brief:
+                            whole.add(x)
     return out
 
 
@@ -161,7 +213,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
                         continue
                     by: dict[int, list] = {}
                     for v, s, e, d in matches(t, windows):
-                        by.setdefault(windows.item[v], []).append((v, s, e, d))
+                        by.setdefault(windows.item[windows.text[v]], []).append((v, s, e, d))
                     for item, m in sorted(by.items()):
                         rows.append((None if pd.isna(i) else int(i), item, len({x[0] for x in m}), min(max(0, x[1]) for x in m), max(x[2] for x in m), min(x[3] for x in m)))
                 out = pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])

@@ -205,6 +205,22 @@ def test_banded_alignment_and_lemma(monkeypatch):
     assert decontaminate.matches("q" * 100 + p + "q" * 100, w)
 
 
+def test_excerpts_at_every_offset():
+    rng = random.Random(11)
+    items = [prose(rng, 40), " ".join(rng.choice(["a", "of", "to", "i", "be"]) for _ in range(40)), "".join(chr(0x4E00 + rng.randrange(900)) for _ in range(200)), prose(rng, 15)]
+    w = decontaminate.Windows(list(enumerate(items)), 8, 96, 0.07, 40)
+    found = lambda t: {w.item[w.text[m[0]]] for m in decontaminate.matches(t, w)}
+    for i, item in enumerate(items):
+        own = item.split()
+        for at in range(len(own) - 12):
+            assert i in found(f"{prose(rng, 30)} {' '.join(own[at : at + 13])} {prose(rng, 30)}"), (i, at)
+        for at in range(max(0, len(item) - 60)):
+            assert i in found("#" * 90 + item[at : at + 61] + "#" * 90), (i, at)
+    edited = items[0][100:131] + "#" + items[0][132:165]
+    assert found("#" * 90 + edited + "#" * 90) == {0}
+    assert not found(prose(rng, 2000))
+
+
 # --- 5 secrets --------------------------------------------------------------------------
 
 
