@@ -108,6 +108,18 @@ def source_counts(spark: SparkSession, d: str) -> DataFrame:
     return edges.source_counts(edges.union(trade=g.trade(spark, d), dag=g.small_dag(spark, d)))
 
 
+@query(f"WITH {g.trade_sql()}, {g.DAG} SELECT src, dst, 'trade' AS source FROM trade UNION ALL SELECT src, dst, 'dag' FROM dag")
+def edges_union_sources_dag(spark: SparkSession, d: str) -> DataFrame:
+    """edges_union_sources with the parts that its SQL leaves out."""
+    return edges.union(trade=g.trade(spark, d), dag=g.dag(spark, d))
+
+
+@query(f"WITH {g.trade_sql()}, {g.DAG} SELECT source, count(*) AS n_edges FROM (SELECT 'trade' AS source FROM trade UNION ALL SELECT 'dag' FROM dag) GROUP BY source")
+def source_counts_dag(spark: SparkSession, d: str) -> DataFrame:
+    """source_counts with the parts that its SQL leaves out."""
+    return edges.source_counts(edges.union(trade=g.trade(spark, d), dag=g.dag(spark, d)))
+
+
 def _months(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return g.trade(spark, d, JAN), g.trade(spark, d, FEB)
 
@@ -138,6 +150,13 @@ def whatif_edges(spark: SparkSession, d: str) -> DataFrame:
     return edges.what_if(g.small_dag(spark, d), pairs([("R:AFRICA", "N:CHINA"), ("N:CHINA", "X:NEW")]), pairs([("R:ASIA", "N:CHINA")]))
 
 
+@query(f"WITH {g.DAG} SELECT src, dst FROM dag WHERE NOT (src = 'R:ASIA' AND dst = 'N:CHINA') UNION ALL SELECT 'R:AFRICA', 'N:CHINA' UNION ALL SELECT 'N:CHINA', 'X:NEW'")
+def whatif_edges_dag(spark: SparkSession, d: str) -> DataFrame:
+    """whatif_edges with the parts that its SQL leaves out."""
+    pairs = lambda rows: spark.createDataFrame(rows, "src string, dst string")
+    return edges.what_if(g.dag(spark, d), pairs([("R:AFRICA", "N:CHINA"), ("N:CHINA", "X:NEW")]), pairs([("R:ASIA", "N:CHINA")]))
+
+
 @query(f"WITH {g.trade_sql()} SELECT sha256('[' || string_agg('{{\"s\":\"' || src || '\",\"d\":\"' || dst || '\"}}', ',' ORDER BY src, dst) || ']') AS fingerprint FROM trade")
 def edge_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     return g.trade(spark, d).agg(text.edge_set_key(F.col("src"), F.col("dst")).alias("fingerprint"))
@@ -217,6 +236,12 @@ def reachability_counts(spark: SparkSession, d: str) -> DataFrame:
     return graph.reach_counts(g.small_dag(spark, d))
 
 
+@query(f"WITH RECURSIVE {g.DAG}, r AS (SELECT src, dst FROM dag UNION SELECT r.src, dag.dst FROM r JOIN dag ON dag.src = r.dst) SELECT src AS node, count(*) AS n_reach FROM r GROUP BY src")
+def reachability_counts_dag(spark: SparkSession, d: str) -> DataFrame:
+    """reachability_counts with the parts that its SQL leaves out."""
+    return graph.reach_counts(g.dag(spark, d))
+
+
 @query(f"""WITH {g.DAG}, r AS (SELECT * FROM dag WHERE src LIKE 'R:%'), n AS (SELECT * FROM dag WHERE src LIKE 'N:%'), s AS (SELECT * FROM dag WHERE src LIKE 'S:%'),
   p AS (SELECT r.src AS a, r.dst AS b, n.dst AS c, s.dst AS e FROM r LEFT JOIN n ON n.src = r.dst LEFT JOIN s ON s.src = n.dst),
   x AS (SELECT unnest([a, b, c, e]) AS node FROM p) SELECT node, round(count(*)::DOUBLE / (SELECT count(*) FROM p), 6) AS share FROM x WHERE node IS NOT NULL GROUP BY node""")

@@ -45,3 +45,14 @@ def test_entry(spark):
 def test_prune_keeps_the_budget(spark):
     out = QUERIES["bfs_prune"](spark, DATA)
     assert len({n for r in out.collect() for n in r}) <= 40
+
+
+def test_whole_graph_holds_the_parts(spark, duck):
+    n = duck.sql("SELECT count(*) FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem)").fetchall()[0][0]
+    for name in ("edges_union_sources_dag", "whatif_edges_dag"):
+        assert QUERIES[name](spark, DATA).where("dst LIKE 'P:%'").count() == n
+    reach = {r["node"]: r["n_reach"] for r in QUERIES["reachability_counts_dag"](spark, DATA).collect()}
+    assert any(k.startswith("S:") for k in reach)
+    assert {r["source"]: r["n_edges"] for r in QUERIES["source_counts_dag"](spark, DATA).collect()}["dag"] > n
+    cut = {r["node"]: r["n_reach"] for r in QUERIES["reachability_counts"](spark, DATA).collect()}
+    assert all(reach[k] > v for k, v in cut.items())
