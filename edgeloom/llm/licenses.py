@@ -1,8 +1,9 @@
 """License scans (10), native: sentence-rule recognition.
 
-A text is split into sentences (line ends, and full stops, exclamation or question
-marks before white space), sentences are normalised (lower case, words only), each
-known licence sentence becomes its identifier, and the sequence of identifiers is
+A text is split into sentences (blank lines, and full stops, exclamation or question
+marks before white space) and these into lines, lines are normalised (lower case, words
+only), each line that is a known licence sentence becomes its identifier, and so do lines
+that are one together, as hard-wrapped texts have them; the sequence of identifiers is
 matched against ordered licence rules, patterns over identifier sequences. All of it
 is one projection of DataFrame expressions: no shuffle, no Python.
 
@@ -50,25 +51,58 @@ RULES = (
     ("CC-BY-4.0", r"grant-cc-by-4;", "permissive"),
     ("Proprietary", r"rights-reserved;", "closed"),
 )
-#: Sentences without one of these words can't be known ones.
+#: What the SQL asks of a sentence before it is normalised, and where it splits.
 HINT = r"(?i)licen[cs]e|licen[cs]ed|released under|under cc by|creative commons|copyright|permission|redistribution|warranty|as is|endorse|free software|rights reserved"
 SENTENCE_END = r"(?<=[.!?])\s+|\s*\n\s*"
+#: Sentences without one of these, whatever stands between the words, can't be known ones.
+WORDS = r"(?i)licen[cs]e|cc[^a-z0-9]+by|creative[^a-z0-9]+commons|copyright|permission|redistribution|as[^a-z0-9]+is|endorse|rights[^a-z0-9]+reserved"
+PARAGRAPH = r"(?<=[.!?])\s+|\n[^\S\n]*\n\s*"
+#: Words that known sentences begin with, but for "later-gpl", which is sought from its "either" on.
+START = r"^(?:this|released|licensed|distributed|available|under|permission|the|you|redistribution|neither|all|copyright)(?: |$)"
+#: No known sentence needs so many characters to be told, but for a name inside ENDLESS.
+MOST, ENDLESS = 200, "neither the name of "
+
+
+def known(s: Column) -> Column:
+    """The identifier of a normalised sentence, or null."""
+    out = None
+    for name, pattern in SENTENCES.items():
+        fits = F.regexp_like(s, F.lit(f"^(?:{pattern})$"))
+        out = F.when(fits, F.lit(name)) if out is None else out.when(fits, F.lit(name))
+    return out
+
+
+def wrapped_ids(lines: Column) -> Column:
+    """Identifiers of the known sentences among the normalised lines of a sentence: a line by
+    itself, else the earliest open beginning that it completes. Beginnings too long to become one are let go."""
+    none = F.array().cast("array<string>")
+    held = lambda a: F.filter(a, lambda x: x.isNotNull())
+
+    def shorter(p: Column) -> Column:  # a name of any length has the same end
+        return F.when(F.startswith(p, F.lit(ENDLESS)) & (F.length(p) > MOST), F.concat(F.lit(ENDLESS), F.right(p, F.lit(MOST - 50)))).otherwise(p)
+
+    def step(acc: Column, line: Column) -> Column:
+        grown = F.transform(acc["open"], lambda p: F.concat(p, F.lit(" "), line))
+        hit = F.coalesce(known(line), F.get(held(F.transform(grown, known)), F.lit(0)))
+        begun = held(F.array(F.when(F.regexp_like(line, F.lit(START)), line), F.when(F.contains(line, F.lit("either")), F.regexp_extract(line, "^.*(either.*)$", 1))))
+        still = F.filter(F.array_distinct(F.transform(F.concat(grown, begun), shorter)), lambda p: F.length(p) <= MOST)
+        return F.struct(F.concat(acc["ids"], held(F.array(hit))).alias("ids"), F.when(hit.isNotNull(), none).otherwise(still).alias("open"))
+
+    return F.aggregate(lines, F.struct(none.alias("ids"), none.alias("open")), step, lambda acc: acc["ids"])
 
 
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order."""
     plain = lambda s: F.trim(F.regexp_replace(F.lower(s), r"[^a-z0-9]+", " "))
 
-    def known(s: Column) -> Column:
-        out = None
-        for name, pattern in SENTENCES.items():
-            fits = F.regexp_like(s, F.lit(f"^(?:{pattern})$"))
-            out = F.when(fits, F.lit(name)) if out is None else out.when(fits, F.lit(name))
-        return out
+    def ids(s: Column) -> Column:
+        lines = F.filter(F.transform(F.split(s, r"\s*\n\s*"), plain), lambda x: x != "")
+        alone = F.filter(F.array(known(plain(s))), lambda x: x.isNotNull())
+        return F.when(F.contains(s, F.lit("\n")), wrapped_ids(lines)).otherwise(alone)
 
-    hinted = F.filter(F.split(F.coalesce(text, F.lit("")), SENTENCE_END), lambda s: F.regexp_like(s, F.lit(HINT)))
-    found = F.filter(F.transform(F.transform(hinted, plain), known), lambda x: x.isNotNull())
-    return F.when(F.regexp_like(F.coalesce(text, F.lit("")), F.lit(HINT)), found).otherwise(F.array().cast("array<string>"))
+    hinted = F.filter(F.split(F.coalesce(text, F.lit("")), PARAGRAPH), lambda s: F.regexp_like(s, F.lit(WORDS)))
+    found = F.flatten(F.transform(hinted, ids))
+    return F.when(F.regexp_like(F.coalesce(text, F.lit("")), F.lit(WORDS)), found).otherwise(F.array().cast("array<string>"))
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

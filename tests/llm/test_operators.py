@@ -406,6 +406,19 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan(docs).count() == docs.count() and licenses.scan(empty).count() == 0 and licenses.scan(docs).where("license is not null").count() == 0
 
 
+def test_wrapped_licenses(spark):
+    texts = {
+        1: "Project X\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files, to deal\nin it.",
+        2: "/* Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that:\n * 3. Neither the name of the holder nor the names of its\n * contributors may be used to endorse or promote products derived from\n * this software without permission. */",
+        3: "The tool\nThis program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+        4: "Distributed under CC-BY-4.0.", 5: "Available under the CC BY 4.0.", 6: "Available under\nthe CC BY 4.0.", 7: "All\nrights\nreserved",
+        8: "Permission is hereby granted, free of charge, to any person obtaining a copy\n\nof this software.", 9: "Neither the name of " + "X\n" * 600 + "may be used to endorse or promote\nproducts derived from this software. Redistribution and use in source and binary forms,\r\nwith or without modification, are permitted",
+    }
+    out = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert [out[i]["license"] for i in range(1, 10)] == ["MIT", "BSD-3-Clause", "GPL-3.0", "CC-BY-4.0", "CC-BY-4.0", "CC-BY-4.0", "Proprietary", None, "BSD-2-Clause"]
+    assert out[9]["sentence_ids"] == "bsd-no-endorsement;bsd-redistribution" and out[3]["sentence_ids"] == "free-gpl;later-gpl"
+
+
 def test_urls(spark):
     urls = {
         1: "http://A.Example.COM/en/7x?q", 2: "https://example.com/en/8", 3: "http://shop.example.net/de/81", 4: "ftp://x.net/de/", 5: "http://notexample.com/en/7", 6: None, 7: "no scheme /en/",
