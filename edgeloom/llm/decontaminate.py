@@ -20,13 +20,16 @@ characters, each shipped to one scan of the documents. Documents of any length a
 scanned in overlapping blocks.
 
 Defined cases: null or empty documents and items match nothing; an item shorter than
-`least` characters (normalised) is too common to count and is left out; repeated
-items report each its own match; rows with a repeated or null id are scanned like
+`least` characters (normalised) is matched exactly, as a whole that begins and ends at the
+border of a word; repeated items report each its own match; items with a null id are
+reported together under a null item_id; rows with a repeated or null id are scanned like
 others; empty tables give an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -67,10 +70,16 @@ class Windows:
                  short: int = SHORT, stride: int = STRIDE, words: int = WORDS):
         self.q = q
         self.texts, self.item = [], []
+        #: items below the limit by length and code points; their windows are numbered from -1 down
+        self.small: dict[int, dict[bytes, list[int]]] = {}
+        self.small_item: list = []
         text, at, size, brief, self.first_window = [], [], [], [], [0]
         for item, own in items:
             c = normal(own)
             if len(c) < max(least, q):
+                if len(c):
+                    self.small.setdefault(len(c), {}).setdefault(c.tobytes(), []).append(-1 - len(self.small_item))
+                    self.small_item.append(item)
                 continue
             width = min(window, len(c))
             spans = dict.fromkeys((s, width) for s in [*range(0, len(c) - width, max(1, width // 2)), len(c) - width])
@@ -105,10 +114,62 @@ class Windows:
         self.map = np.zeros(1 << bits, bool)
         self.map[(self.keys >> self.shift).astype(np.int64)] = True
 
+        self.small_keys = {m: np.sort(keyed(np.stack([np.frombuffer(c, np.uint32) for c in own]))) for m, own in self.small.items()}
+
+    def owner(self, v: int):
+        """The id of a window's item."""
+        return self.small_item[-1 - v] if v < 0 else self.item[self.text[v]]
+
     def codes(self, v: int) -> np.ndarray:
         return self.texts[self.text[v]][self.at[v] : self.at[v] + self.size[v]]
 
 
+BASE = 0x100000001B3
+
+
+def powers(n: int, base: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def keyed(rows: np.ndarray) -> np.ndarray:
+    """Hash of each row of code points, as `exact` has it."""
+    return (rows.astype(np.uint64) * powers(rows.shape[1], BASE)).sum(1, dtype=np.uint64)
+
+
+@functools.cache
+def _letters() -> np.ndarray:
+    return np.array([chr(i).isalnum() for i in range(0x110000)])
+
+
+def exact(codes: np.ndarray, w: Windows) -> list[tuple[int, int, int, int]]:
+    """Items below the limit that a text holds as a whole, not inside a word, wherever they stand."""
+    out: list[tuple[int, int, int, int]] = []
+    reach = max(w.small)
+    for start in range(0, len(codes), SCAN):
+        # with a character before, and as many behind as an item and its border need
+        base = max(0, start - 1)
+        part = codes[base : start + SCAN + reach + 1]
+        n = len(part)
+        word = _letters()[part]
+        # a place inside a word: letters or digits on both its sides
+        inside = np.zeros(n + 1, bool)
+        inside[1:n] = word[1:] & word[:-1]
+        own = np.arange(start - base, min(n, start - base + SCAN))
+        own = own[~inside[own]]
+        sums = np.append(np.uint64(0), np.cumsum(part.astype(np.uint64) * powers(n, BASE), dtype=np.uint64))
+        back = powers(n, pow(BASE, -1, 1 << 64))
+        for m, items in w.small.items():
+            at = own[: np.searchsorted(own, n - m, "right")]
+            at = at[~inside[at + m]]
+            h = (sums[at + m] - sums[at]) * back[at]
+            keys = w.small_keys[m]
+            for s in at[keys[np.minimum(np.searchsorted(keys, h), len(keys) - 1)] == h].tolist():
+                out += [(v, base + s, base + s + m, 0) for v in items.get(part[s : s + m].tobytes(), ())]
+    return out
+
+
 def short_spans(c: np.ndarray, short: int, stride: int, words: int) -> list[tuple[int, int]]:
     """(start, length) of the short windows of an item: one at each multiple of `stride`,
     one at the end, and one at the start of each run of `words` words, no longer than the run."""
@@ -141,9 +202,11 @@ def banded(p: np.ndarray, t: np.ndarray, lo: int, width: int, k: int) -> tuple[i
 def matches(text: str | None, w: Windows) -> list[tuple[int, int, int, int]]:
     """(window, start, end, edits) of the passages of a text, in normalised characters."""
     out: list[tuple[int, int, int, int]] = []
+    codes = normal(text)
+    if w.small:
+        out += exact(codes, w)
     if not len(w.keys):
         return out
-    codes = normal(text)
     margin = 2 * int(w.size.max())
     for start in range(0, max(1, len(codes)), SCAN):
         part = codes[start : start + SCAN + margin]
@@ -213,8 +276,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
                         continue
                     by: dict[int, list] = {}
                     for v, s, e, d in matches(t, windows):
-                        by.setdefault(windows.item[windows.text[v]], []).append((v, s, e, d))
-                    for item, m in sorted(by.items()):
+                        by.setdefault(windows.owner(v), []).append((v, s, e, d))
+                    for item, m in sorted(by.items(), key=lambda x: (x[0] is not None, x[0] or 0)):
                         rows.append((None if pd.isna(i) else int(i), item, len({x[0] for x in m}), min(max(0, x[1]) for x in m), max(x[2] for x in m), min(x[3] for x in m)))
                 out = pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
                 yield out.astype({c: "Int64" for c in out.columns})
@@ -232,7 +295,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
 def _blocks(benchmark: DataFrame, item_id: str, item_text: str, chars: int):
     """Items of at most so many characters together, read one after another."""
     block, size = [], 0
-    rows = benchmark.select(F.col(item_id).cast("long"), F.col(item_text)).where(F.col(item_text).isNotNull() & F.col(item_id).isNotNull())
+    rows = benchmark.select(F.col(item_id).cast("long"), F.col(item_text)).where(F.col(item_text).isNotNull())
     for i, t in rows.toLocalIterator():
         block.append((i, t))
         size += len(t)

@@ -221,6 +221,22 @@ def test_excerpts_at_every_offset():
     assert not found(prose(rng, 2000))
 
 
+def test_short_items(spark, monkeypatch):
+    rng = random.Random(13)
+    items = [(1, "Yes"), (2, "what is 6 x 7?"), (3, "42"), (4, "Überall 中文"), (None, "a null id"), (None, prose(rng, 30)), (5, "abcdefg " * 4 + "ends"), (6, "yes"), (7, "")]
+    texts = [(1, "oh YES, he said"), (2, "yesterday eyes"), (3, "What  is\n6 x 7?"), (4, "421 142"), (5, "=42;"), (6, "(überall 中文)"), (7, "A null id."), (8, "q " + items[5][1]), (9, "abcdefg " * 4 + "ends"), (10, "abcdefg " * 4 + "end"), (11, "yes"), (12, None)]
+    bench, table = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(texts, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(table, bench).collect()}
+    assert got == {(1, 1), (1, 6), (3, 2), (5, 3), (6, 4), (7, None), (8, None), (9, 5), (11, 1), (11, 6)}
+    long = "xy " * 500 + "what is 6 x 7? " + "yes 42 eyes " * 30
+    w = decontaminate.Windows([(i, t) for i, t in items if i], 8, 96, 0.07, 40)
+    want = sorted(decontaminate.matches(long, w))
+    assert len(want) == 1 + 30 * 3
+    for scan in (70, 71, 89):
+        monkeypatch.setattr(decontaminate, "SCAN", scan)
+        assert sorted(decontaminate.matches(long, w)) == want
+
+
 # --- 5 secrets --------------------------------------------------------------------------
 
 
