@@ -266,7 +266,7 @@ def cycle_nodes(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def acyclic_edges(spark: SparkSession, d: str) -> DataFrame:
-    return graph.break_cycles(g.trade(spark, d, JAN))[0]
+    return graph.break_cycles(g.trade(spark, d))[0]
 
 
 @query()
@@ -367,6 +367,13 @@ def convergence_filter(spark: SparkSession, d: str) -> DataFrame:
     return g.degree_vectors(g.trade(spark, d, JAN)).where("fanout < 0.5 and throughput > 0.05").select("node", F.round("throughput", 6).alias("throughput"), F.round("fanout", 6).alias("fanout"))
 
 
+@query(f"WITH {g.DAG}, e AS (SELECT *, 1.0 AS weight FROM dag), {g.vectors_sql('v', 'e')} SELECT node, round(throughput, 6) AS throughput, round(fanout, 6) AS fanout FROM v WHERE fanout < 0.3 AND throughput > 0.05")
+def convergence_filter_dag(spark: SparkSession, d: str) -> DataFrame:
+    """The operator's own limits on all of E_dag; convergence_filter and its SQL are of one month."""
+    v = g.degree_vectors(g.dag(spark, d).withColumn("weight", F.lit(1.0)))
+    return risks.convergence(v).select("node", F.round("throughput", 6).alias("throughput"), F.round("fanout", 6).alias("fanout"))
+
+
 @query(f"WITH {g.DAG}, e AS (SELECT *, 1.0 AS weight FROM dag), {g.vectors_sql('v', 'e')} SELECT node, round(fanout, 6) AS fanout FROM v WHERE fanout > 0.6")
 def amplification_filter(spark: SparkSession, d: str) -> DataFrame:
     return risks.amplification(g.degree_vectors(g.dag(spark, d).withColumn("weight", F.lit(1.0)))).select("node", F.round("fanout", 6).alias("fanout"))
@@ -458,6 +465,12 @@ def ranked_table(spark: SparkSession, d: str) -> DataFrame:
     return risks.ranked(g.degree_vectors(g.trade(spark, d, JAN)), 20)
 
 
+@query(f"WITH {g.trade_sql('t')}, {g.vectors_sql('v', 't')} SELECT CASE WHEN length(node) > 35 THEN substr(node, 1, 32) || '...' ELSE node END AS node, round(throughput, 3) AS throughput, round(criticality, 3) AS criticality, round(fanout, 3) AS fanout FROM v ORDER BY v.criticality DESC, v.node LIMIT 20")
+def ranked_table_all(spark: SparkSession, d: str) -> DataFrame:
+    """ranked_table without its month."""
+    return risks.ranked(g.degree_vectors(g.trade(spark, d)), 20)
+
+
 @query("""WITH f AS (SELECT user_id FROM (SELECT user_id, count(*) AS n FROM events GROUP BY user_id) ORDER BY n DESC, user_id LIMIT 25), i AS (SELECT event_id, user_id FROM events WHERE event_type = 'error')
   SELECT count(*) AS n_incidents, count(*) FILTER (user_id IN (SELECT user_id FROM f)) AS n_hit, count(DISTINCT user_id) FILTER (user_id IN (SELECT user_id FROM f)) AS n_confirmed,
     round(count(*) FILTER (user_id IN (SELECT user_id FROM f))::DOUBLE / nullif(count(*), 0), 6) AS rate FROM i""")

@@ -56,3 +56,14 @@ def test_whole_graph_holds_the_parts(spark, duck):
     assert {r["source"]: r["n_edges"] for r in QUERIES["source_counts_dag"](spark, DATA).collect()}["dag"] > n
     cut = {r["node"]: r["n_reach"] for r in QUERIES["reachability_counts"](spark, DATA).collect()}
     assert all(reach[k] > v for k, v in cut.items())
+
+
+def test_acyclic_edges_of_every_month(spark, duck):
+    got = {(r["src"], r["dst"]) for r in QUERIES["acyclic_edges"](spark, DATA).collect()}
+    every = "SELECT DISTINCT s.s_nationkey, c.c_nationkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer c ON o_custkey = c_custkey JOIN supplier s ON l_suppkey = s_suppkey"
+    whole = {frozenset(r) for r in duck.sql(every).fetchall() if r[0] != r[1]}
+    month = {frozenset(r) for r in duck.sql(every + " WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1995-02-01'").fetchall() if r[0] != r[1]}
+    left = set(got)
+    while any(s not in {b for _, b in left} for s, _ in left):
+        left = {(a, b) for a, b in left if a in {y for _, y in left}}
+    assert not left and len(month) < len(got) <= len(whole)
