@@ -388,6 +388,23 @@ def insight_rules(spark: SparkSession, d: str) -> DataFrame:
     return risks.insights(v.withColumns({"independence": F.lit(0.5), "depth": F.when(F.col("fanout") == 0, 1.0).otherwise(0.5)}))
 
 
+@query(f"""{_LAYER}, e AS (SELECT *, 1.0 AS weight FROM dag), {g.vectors_sql('v', 'e')},
+  r AS (SELECT * FROM dag WHERE src LIKE 'R:%'), n AS (SELECT * FROM dag WHERE src LIKE 'N:%'), s AS (SELECT * FROM dag WHERE src LIKE 'S:%'),
+  p AS (SELECT r.src AS a, r.dst AS b, n.dst AS c, s.dst AS z FROM r LEFT JOIN n ON n.src = r.dst LEFT JOIN s ON s.src = n.dst),
+  x AS (SELECT unnest([a, b, c, z]) AS node FROM p), share AS (SELECT node, count(*)::DOUBLE / (SELECT count(*) FROM p) AS share FROM x WHERE node IS NOT NULL GROUP BY node),
+  k AS (SELECT node, layer / (SELECT max(layer) FROM m)::DOUBLE AS depth, 1 - 1.0::DOUBLE / count(*) OVER (PARTITION BY layer) AS independence FROM m),
+  y AS (SELECT node, array_to_string(list_filter([CASE WHEN independence < 0.2 THEN 'no peer at its stage' END, CASE WHEN fanout > 0.7 THEN 'spreads to many' END, CASE WHEN share > 0.05 THEN 'on many paths' END,
+    CASE WHEN throughput > 0.2 THEN 'carries much of the traffic' END, CASE WHEN fanout = 0 AND depth > 0.7 THEN 'a deep end point' END], lambda q: q IS NOT NULL), '; ') AS messages FROM v JOIN k USING (node) JOIN share USING (node))
+  SELECT * FROM y WHERE messages <> ''""")
+def insight_rules_dag(spark: SparkSession, d: str) -> DataFrame:
+    """The rules on measured depth, independence and path share; insight_rules and its SQL have constants."""
+    e = g.dag(spark, d)
+    v = g.degree_vectors(e.withColumn("weight", F.lit(1.0))).drop("criticality")
+    own = graph.depth(e)
+    v = v.join(own.select("node", "depth"), "node").join(graph.independence(own).select("node", "independence"), "node")
+    return risks.insights(v.join(graph.path_share(e).select("node", F.col("share").alias("criticality")), "node"))
+
+
 #: Risk entries from order priorities: a table with the shape of risks.
 _RISK = """risk AS (SELECT c_mktsegment AS node, CASE o_orderpriority WHEN '1-URGENT' THEN 'SINGLE_POINT_OF_FAILURE' WHEN '2-HIGH' THEN 'AMPLIFICATION_RISK' ELSE 'CONVERGENCE_SINK' END AS category,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'critical' WHEN '2-HIGH' THEN 'warning' ELSE 'info' END AS severity, o_totalprice AS value FROM orders JOIN customer ON o_custkey = c_custkey)"""

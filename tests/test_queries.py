@@ -67,3 +67,9 @@ def test_acyclic_edges_of_every_month(spark, duck):
     while any(s not in {b for _, b in left} for s, _ in left):
         left = {(a, b) for a, b in left if a in {y for _, y in left}}
     assert not left and len(month) < len(got) <= len(whole)
+
+
+def test_insights_of_measures(spark):
+    got = {r["node"]: r["messages"] for r in QUERIES["insight_rules_dag"](spark, DATA).collect()}
+    assert all("on many paths" in m for n, m in got.items() if n.startswith("R:")) and any(n.startswith("R:") for n in got)
+    assert any(n.startswith("P:") for n, m in got.items() if "a deep end point" in m)
