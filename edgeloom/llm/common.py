@@ -3,6 +3,7 @@ tables, tokenizer ids, connected components."""
 
 from __future__ import annotations
 
+import contextlib
 import os
 import re
 import tempfile
@@ -32,6 +33,24 @@ def ship(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_A_TIME))
 
 
+@contextlib.contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """Rows of an Arrow batch for what is executed inside: for rows that may be long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def binary(column) -> np.ndarray:
+    """The bytes of an Arrow column of bytes without nulls, one value after another."""
+    places = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[places[0] : places[-1]]
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or, only
     where that is unset (tests), a temporary folder of this process."""
@@ -68,10 +87,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 # --- tokenizer -------------------------------------------------------------
 
-#: Chunks of text whose ids a worker remembers.
-CACHE_CHUNKS = 800_000
-#: Chunks encoded together in one text.
-JOINED = 256
+#: Chunks of text whose ids a worker remembers, twice: those met lately and those before.
+CACHE_CHUNKS = 500_000
+#: Chunks encoded together in one text, and bytes of text that are cut into chunks at a time.
+JOINED, BLOCK_BYTES = 256, 1 << 22
 
 
 class ChunkEncoder:
@@ -79,12 +98,14 @@ class ChunkEncoder:
 
     Spaces and newlines end every piece of the word tokenizer's pre-tokenizer and
     are dropped, so a text's ids are those of its chunks between them, in order.
-    Each distinct chunk goes through the library, and later ones come from a bounded
-    dictionary. New chunks of ASCII and Latin-1 characters are encoded many at a time,
-    joined by spaces: each pre-token ends in one id whose token ends a word, so
-    counting pre-tokens tells where a chunk's ids end. `exact` verifies the first
-    property for the loaded vocabulary and falls back to whole texts where it doesn't
-    hold; a joined text whose counts don't add up is encoded chunk by chunk.
+    A block of texts is cut at them where it lies in its Arrow buffer, and Arrow numbers
+    the block's distinct chunks; each of these goes through the library once and comes
+    from a bounded dictionary later, and the ids of all texts are one gather. New chunks
+    of ASCII and Latin-1 characters are encoded many at a time as lower-case pre-tokens
+    joined by spaces: each pre-token ends in one id whose token ends a word, so counting
+    them tells where a chunk's ids end. `exact` verifies this on a probe for the loaded
+    vocabulary and falls back to whole texts where it doesn't hold; a joined text whose
+    counts don't add up is encoded chunk by chunk.
     """
 
     _probe = "It's a  test,\néá İX 12'll\nDON'T <|x|> 中文 àb ÀÉ§÷×¼ª"
@@ -93,59 +114,131 @@ class ChunkEncoder:
     _simple = re.compile(r"[!-~¡-¬®-ÿ]+")
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self.known: dict[str, bytes] = {}
-        self.exact = self.whole(self._probe).tolist() == self.chunked([self._probe])[0].tolist()
+        # the same model without the steps that pre-tokens have behind them
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.known: dict[bytes, bytes] = {}
+        self.recent: dict[bytes, bytes] = {}
+        self.exact = True
+        self.exact = self.whole(self._probe).tolist() == self.encode([self._probe])[0].tolist()
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
-    def _alone(self, chunks: list[str]) -> None:
-        for chunk, enc in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)):
-            self.known[chunk] = np.array(enc.ids, dtype=np.uint32).tobytes()
-
-    def learn(self, new: list[str]) -> None:
-        simple = [c for c in new if self._simple.fullmatch(c) and "<|" not in c]
-        if len(simple) < len(new):
-            left = set(new).difference(simple)
-            self._alone(list(left))
-        blocks = [simple[at : at + JOINED] for at in range(0, len(simple), JOINED)]
-        found = self.tokenizer.encode_batch_fast([" ".join(b) for b in blocks], add_special_tokens=False)
-        for block, enc in zip(blocks, found):
-            ids = np.array(enc.ids, dtype=np.uint32)
+    def _alone(self, raw: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace").strip(" ") for c in raw], add_special_tokens=False)
+        return [np.array(enc.ids, dtype=np.uint32).tobytes() for enc in found]
+
+    def learn(self, new: list[bytes]) -> list[bytes]:
+        """Ids of chunks, each with or without a space at its end."""
+        words = b"".join([c if c.endswith(b" ") else c + b" " for c in new]).decode("utf-8", "replace").lower().split(" ")[:-1]
+        out: list[bytes | None] = [None] * len(new)
+        quick, pre, parts = [], [], []
+        for i, w in enumerate(words):
+            if w.isalpha() and (w.isascii() or self._simple.fullmatch(w)):
+                quick.append(i)
+                pre.append(1)
+                parts.append(w)
+            elif self._simple.fullmatch(w) and "<|" not in w:
+                found = self._pre.findall(w)
+                quick.append(i)
+                pre.append(len(found))
+                parts += found
+            elif not w:
+                out[i] = b""
+        upto = np.cumsum(pre)
+        at = 0
+        while at < len(quick):  # so many chunks at a time that their pre-tokens make a text of moderate length
+            end = min(at + JOINED, len(quick))
+            lo = int(upto[at - 1]) if at else 0
+            ids = np.array(self.bare.encode_batch_fast([" ".join(parts[lo : upto[end - 1]])], add_special_tokens=False)[0].ids, dtype=np.uint32)
             last = np.flatnonzero(self.ends[ids]) + 1
-            pre = np.cumsum([1 if c.isalpha() else len(self._pre.findall(c.lower())) for c in block])
-            if len(last) != pre[-1]:
-                self._alone(block)
-                continue
-            raw, at = ids.tobytes(), 0
-            for chunk, end in zip(block, (last[pre - 1] * 4).tolist()):
-                self.known[chunk] = raw[at:end]
-                at = end
-
-    def chunked(self, texts: list[str]) -> list[np.ndarray]:
-        known = self.known
-        if len(known) > CACHE_CHUNKS:
-            known.clear()
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        new = {c for p in parts for c in p if c not in known}
-        if new:
-            self.learn(list(new))
-        return [np.frombuffer(b"".join(map(known.__getitem__, p)), dtype=np.uint32) for p in parts]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.exact:
-            return [self.whole(t) for t in texts]
+            if len(last) == upto[end - 1] - lo:
+                joined, start = ids.tobytes(), 0
+                for i, stop in zip(quick[at:end], (last[upto[at:end] - lo - 1] * 4).tolist()):
+                    out[i] = joined[start:stop]
+                    start = stop
+            at = end
+        left = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(left, self._alone([new[i] for i in left])):
+            out[i] = x
+        return out
+
+    def _block(self, b: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, end of each text's ids) of texts that lie one after another and end at `ends`."""
+        import pyarrow as pa
+
+        if not len(b):
+            return np.empty(0, np.uint32), np.zeros(len(ends), np.int64)
+        b = np.where(b == 10, np.uint8(32), b)
+        mark = b == 32
+        mark[ends[ends > 0] - 1] = True
+        cuts = np.flatnonzero(mark) + 1
+        places = np.concatenate([[0], cuts]).astype(np.int32 if len(b) < 1 << 31 else np.int64)
+        kind = pa.binary() if places.dtype == np.int32 else pa.large_binary()
+        chunks = pa.Array.from_buffers(kind, len(cuts), [None, pa.py_buffer(places), pa.py_buffer(b)]).dictionary_encode()
+        names = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.recent) > CACHE_CHUNKS:  # what isn't met again until this is so once more is forgotten
+            self.known, self.recent = self.recent, {}
+        raw = list(map(self.recent.get, names))
+        gone = [i for i, x in enumerate(raw) if x is None]
+        if gone:
+            fresh = [names[i] for i in gone]
+            found = list(map(self.known.get, fresh))
+            new = [k for k, x in enumerate(found) if x is None]
+            for k, x in zip(new, self.learn([fresh[k] for k in new]) if new else ()):
+                found[k] = x
+            for i, x in zip(gone, found):
+                raw[i] = x
+            self.recent.update(zip(fresh, found))
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) >> 2
+        first, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(raw), np.uint32)
+        which = chunks.indices.to_numpy()
+        n = sizes[which]
+        upto = np.cumsum(n)
+        ids = flat[np.arange(upto[-1]) + np.repeat(first[which] - (upto - n), n)]
+        return ids, np.concatenate([[0], upto])[np.searchsorted(cuts, ends, side="right")]
+
+    def blocks(self, texts):
+        """(first text, ids, end of each text's ids) for blocks of an Arrow column of texts; null is empty."""
+        import pyarrow as pa
+
+        if isinstance(texts, pa.ChunkedArray):
+            texts = texts.combine_chunks()
+        texts = texts.cast(pa.large_string()).fill_null("")
+        places = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        b = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        at = 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(places, places[at] + BLOCK_BYTES, side="right")) - 1)
+            if self.exact:
+                ids, ends = self._block(b[places[at] : places[end]], places[at + 1 : end + 1] - places[at])
+            else:
+                found = [self.whole(t) for t in texts[at:end].to_pylist()]
+                ids, ends = np.concatenate(found), np.cumsum([len(x) for x in found])
+            yield at, ids, ends
+            at = end
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        import pyarrow as pa
+
         out: list[np.ndarray] = []
-        for at in range(0, len(texts), 256):
-            out += self.chunked(texts[at : at + 256])
+        for _, ids, ends in self.blocks(pa.array(texts, pa.large_string())):
+            out += np.split(ids, ends[:-1])
         return out
 
 
+def with_end(ids: np.ndarray, ends: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """A block's ids with the end id after each text, and the places where texts end then."""
+    return np.insert(ids, ends, np.uint32(end)).astype("<u4", copy=False), ends + np.arange(1, len(ends) + 1)
+
+
 _encoders: dict[str, ChunkEncoder] = {}
 
 
@@ -240,7 +333,9 @@ def components(links: DataFrame, name: str = "cc") -> DataFrame:
         edges = new
         if done:
             break
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
+    out = written(edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()), name)
+    drop(edges)
+    return out
 
 
 def safe_name(text: str) -> str:

@@ -23,11 +23,10 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import encoder, ship, vocabulary, written
+from .common import encoder, ship, vocabulary, with_end, written
 
 SIZE = 2048
 END = 0
@@ -39,23 +38,32 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def pieces(docs: DataFrame, doc_id: str, text: str, vocab: str, size: int, end: int, ids: bool = False) -> DataFrame:
     """A row for each piece: doc_id, piece, start, length, ids_crc32 and, if asked for, ids."""
+    import pyarrow as pa
+
     ship(docs.sparkSession)
 
     def run(batches):
         enc = encoder(vocab)
-        for pdf in batches:
-            rows = []
-            found = enc.encode([t if isinstance(t, str) else "" for t in pdf["t"]])
-            for i, x in zip(pdf["i"], found):
-                x = np.append(x, np.uint32(end)).astype("<u4")
-                for n, at in enumerate(range(0, len(x), size)):
-                    part = x[at : at + size].tobytes()
-                    row = (None if pd.isna(i) else int(i), n, at, len(part) // 4, zlib.crc32(part))
-                    rows.append(row + (part,) if ids else row)
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * ids)
-            yield out.astype({"doc_id": "Int64"})
-
-    return docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).alias("t")).mapInPandas(run, PIECES + (", ids binary" if ids else ""))
+        for batch in batches:
+            for at, found, ends in enc.blocks(batch.column("t")):
+                found, ends = with_end(found, ends, end)
+                starts = np.concatenate([[0], ends[:-1]])
+                n = -(-(ends - starts) // size)
+                doc = np.repeat(np.arange(len(ends)), n)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+                lo = starts[doc] + piece * size
+                hi = np.minimum(lo + size, ends[doc])
+                raw = memoryview(found).cast("B")
+                parts = [raw[4 * a : 4 * b] for a, b in zip(lo.tolist(), hi.tolist())]
+                columns = {
+                    "doc_id": batch.column("i").take(pa.array(at + doc)), "piece": pa.array(piece, pa.int32()), "start": pa.array(piece * size, pa.int64()),
+                    "length": pa.array(hi - lo, pa.int64()), "ids_crc32": pa.array([zlib.crc32(p) for p in parts], pa.int64()),
+                }
+                if ids:
+                    columns["ids"] = pa.array([bytes(p) for p in parts], pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).alias("t")).mapInArrow(run, PIECES + (", ids binary" if ids else ""))
 
 
 def fullest(counts: dict[int, int], size: int) -> list[int]:
@@ -137,6 +145,8 @@ class Places:
 
 def pack(docs: DataFrame, vocab: str, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, end: int = END) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    import pyarrow as pa
+
     parts = written(pieces(docs, doc_id, text, vocab, size, end), "pieces")
     most = 1 + parts.count() // PER_SALT
     key = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(most)).cast("long")
@@ -151,12 +161,12 @@ def pack(docs: DataFrame, vocab: str, doc_id: str = "doc_id", text: str = "text"
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("own") - 1).alias("rank"))
 
     def run(batches):
-        for pdf in batches:
-            seq, off = places.find(pdf["length"].to_numpy(), pdf.pop("rank").to_numpy())
-            pdf["sequence_id"], pdf["offset"] = seq, off
-            yield pdf.astype({"doc_id": "Int64"})
+        for batch in batches:
+            found = places.find(batch.column("length").to_numpy(), batch.column("rank").to_numpy())
+            columns = {n: batch.column(n) for n in batch.schema.names if n != "rank"}
+            yield pa.RecordBatch.from_pydict(columns | {n: pa.array(x, pa.int64()) for n, x in zip(("sequence_id", "offset"), found)})
 
-    return ranked.mapInPandas(run, PIECES + ", sequence_id long, offset long")
+    return ranked.mapInArrow(run, PIECES + ", sequence_id long, offset long")
 
 
 def op7_packing(spark, sf_dir: str) -> DataFrame:

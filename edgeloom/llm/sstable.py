@@ -29,25 +29,25 @@ are not read; a document longer than a block is a block of its own.
 from __future__ import annotations
 
 import bisect
+import itertools
 import struct
 import uuid
 import zlib
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import encoder, new_path, ship, vocabulary, written
+from .common import encoder, new_path, ship, vocabulary, with_end, written
 
 MAGIC, VERSION = b"ELSST\x00\x01\n", 1
 BLOCK = 1 << 16
 RESTART = 16
 BITS_PER_KEY = 10
 END = 2
-#: Documents of one shard, about.
-PER_SHARD = 20_000
+#: Bytes of text of one shard, about, and entries read from a file at a time.
+PER_SHARD, READ_ROWS = 48 << 20, 1_000
 FOOTER = struct.Struct("<QQQQQQHH8s")
 
 
@@ -233,64 +233,75 @@ MANIFEST = "path string, first_id long, last_id long, entries long, ids long, by
 def write_shards(docs: DataFrame, folder: str, vocab: str, doc_id: str = "doc_id", text: str = "text", end: int = END, per_shard: int = PER_SHARD) -> DataFrame:
     """Write docs under folder (a URI that driver and executors share); the manifest, a
     written table: path, first_id, last_id, entries, ids, bytes and shard, in order."""
+    import pyarrow as pa
+
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).alias("t"))
-    shards = 1 + rows.select("i").count() // per_shard
+    shards = 1 + int((rows.agg(F.sum(F.octet_length("t") + 16).alias("n")).first()["n"] or 0) // per_shard)
 
     def run(batches):
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
         enc, out, writer, first, last = encoder(vocab), None, None, None, None
-        for pdf in batches:
-            if not len(pdf):
+        for batch in batches:
+            if not batch.num_rows:
                 continue
+            own = batch.column("i").to_pylist()
             if writer is None:
                 fs, path = _fs(folder)
                 fs.create_dir(path, recursive=True)
                 name = f"shard-{shard:06d}-{uuid.uuid4().hex}.sst"
                 out = fs.open_output_stream(f"{path}/{name}")
-                width = 2 if enc.tokenizer.get_vocab_size() <= 1 << 16 else 4
-                writer = Writer(out, width)
-                first = pdf["i"].iloc[0]
-            for at in range(0, len(pdf), 512):
-                part = pdf.iloc[at : at + 512]
-                for i, ids in zip(part["i"], enc.encode([t if isinstance(t, str) else "" for t in part["t"]])):
-                    last = i
-                    writer.add(key_of(None if pd.isna(i) else int(i)), np.append(ids, np.uint32(end)).astype(f"<u{writer.width}").tobytes())
+                writer = Writer(out, 2 if enc.tokenizer.get_vocab_size() <= 1 << 16 else 4)
+                first = own[0]
+            last = own[-1]
+            for at, ids, ends in enc.blocks(batch.column("t")):
+                ids, ends = with_end(ids, ends, end)
+                raw, width, start = ids.astype(f"<u{writer.width}").tobytes(), writer.width, 0
+                for i, stop in zip(own[at:], (ends * width).tolist()):
+                    writer.add(key_of(i), raw[start:stop])
+                    start = stop
         if writer is not None:
             writer.close()
             size = out.tell()
             out.close()
-            one = lambda x: None if pd.isna(x) else int(x)
-            row = pd.DataFrame([(f"{folder}/{name}", one(first), one(last), writer.entries, writer.ids, size, shard)], columns=[x.split()[0] for x in MANIFEST.split(", ")])
-            yield row.astype({"first_id": "Int64", "last_id": "Int64"})
+            row = (f"{folder}/{name}", first, last, writer.entries, writer.ids, size, shard)
+            fields = [x.split() for x in MANIFEST.split(", ")]
+            kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32()}
+            yield pa.RecordBatch.from_pydict({n: pa.array([v], kinds[k]) for (n, k), v in zip(fields, row)})
 
-    dealt = rows.repartitionByRange(shards, F.col("i").asc_nulls_first()).sortWithinPartitions(F.col("i").asc_nulls_first())
-    return written(dealt.mapInPandas(run, MANIFEST), "manifest")
+    # equal identifiers may lie in several shards, one after the other
+    dealt = rows.withColumn("h", F.xxhash64("t"))
+    by = [F.col("i").asc_nulls_first(), F.col("h")]
+    dealt = dealt.repartitionByRange(shards, *by).sortWithinPartitions(*by).select("i", "t")
+    return written(dealt.mapInArrow(run, MANIFEST), "manifest")
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:
     """Per entry, from the files: doc_id, start (ids of all entries before it), n_tokens, ids_crc32."""
+    import pyarrow as pa
+
     # one row for each shard: the running sum is over as many rows as there are files
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     rows = manifest.select("path", "shard", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
     shards = max(1, manifest.count())
 
     def run(batches):
-        for pdf in batches:
-            for path, at in zip(pdf["path"], pdf["base"]):
+        for batch in batches:
+            for path, at in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist()):
                 fs, name = _fs(path)
-                out = []
                 with fs.open_input_file(name) as src:
-                    for key, value in (reader := Reader(src)):
-                        ids = reader.array(value).astype("<u4")
-                        out.append((id_of(key), int(at), len(ids), zlib.crc32(ids.tobytes())))
-                        at += len(ids)
-                yield pd.DataFrame(out, columns=["doc_id", "start", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
-
-    return rows.repartition(shards, "shard").mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+                    entries = iter(reader := Reader(src))
+                    while some := list(itertools.islice(entries, READ_ROWS)):
+                        found = [reader.array(value).astype("<u4") for _, value in some]
+                        n = np.array([len(x) for x in found], np.int64)
+                        columns = {"doc_id": [id_of(key) for key, _ in some], "start": at + np.cumsum(n) - n, "n_tokens": n, "ids_crc32": [zlib.crc32(x) for x in found]}
+                        at += int(n.sum())
+                        yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in columns.items()})
+
+    return rows.repartition(shards, "shard").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 @dataclass
