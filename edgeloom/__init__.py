@@ -1,3 +1,19 @@
 """edgeloom: structural analysis of directed graphs on Spark DataFrames."""
 
-__version__ = "0.1.0"
+from .functions.text import canonical, edge_set_key
+from .operators.drift import drift, risk_changes, top_changes
+from .operators.edges import alias, dedupe, normalize, validate, what_if
+from .operators.graph import RoundsError, break_cycles, depth, fanout, layers, path_share, prune, reach, throughput, weak_components
+from .operators.measures import MEASURES, Compared, Measured, Rule, apply_rules, compare, mean_reach, measures, simulate
+from .operators.risks import by_category, by_severity, cards, has_critical, headline, markdown, ranked, report
+from .operators.spans import service_edges
+from .schema import EdgeError, NodeLimitError
+from .sources import from_directory, graph_documents, text_edges
+
+__version__ = "0.2.0"
+__all__ = [
+    "MEASURES", "Compared", "EdgeError", "Measured", "NodeLimitError", "RoundsError", "Rule", "alias", "apply_rules", "break_cycles", "by_category", "by_severity",
+    "canonical", "cards", "compare", "dedupe", "depth", "drift", "edge_set_key", "fanout", "from_directory", "graph_documents", "has_critical", "headline", "layers",
+    "markdown", "mean_reach", "measures", "normalize", "path_share", "prune", "ranked", "reach", "report", "risk_changes", "service_edges", "simulate", "text_edges",
+    "throughput", "top_changes", "validate", "weak_components", "what_if",
+]

@@ -504,3 +504,9 @@ def streaming_window_edges(spark: SparkSession, d: str) -> DataFrame:
     from ..streaming import windowed_edges
 
     return windowed_edges(g.spans(spark, d), apart="30 days", window="1 day").select(F.col("window.start").alias("start"), "src", "dst", "n")
+
+
+from . import parsing, reports  # noqa: E402
+
+QUERIES |= parsing.QUERIES | reports.QUERIES
+ORACLES |= parsing.ORACLES | reports.ORACLES

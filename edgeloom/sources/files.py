@@ -106,6 +106,10 @@ def import_edges(f: DataFrame, depth: int | None = None) -> DataFrame:
     return _done(found.select(F.when(a == b, F.col("name")).otherwise(a).alias("src"), F.when(a == b, F.col("to")).otherwise(b).alias("dst")))
 
 
+def dependency_edges(f: DataFrame) -> DataFrame:
+    return _done(_ends(f, "dep"))
+
+
 def workspace_edges(f: DataFrame) -> DataFrame:
     local = _of(f, "package").select(F.col("name").alias("dst")).distinct()
     return _done(_ends(f, "dep").join(local, "dst", "left_semi"))
@@ -166,7 +170,7 @@ def from_python_imports(spark: SparkSession, path: str, depth: int | None = None
 
 
 def from_package_json(spark: SparkSession, path: str) -> DataFrame:
-    return _done(_ends(facts(files(spark, path), "package-json"), "dep"))
+    return dependency_edges(facts(files(spark, path), "package-json"))
 
 
 def from_package_json_workspaces(spark: SparkSession, path: str) -> DataFrame:

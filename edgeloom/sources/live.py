@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..operators.graph import kept
 from ..operators.spans import service_edges
 
 Transport = Callable[[str, str, dict, str | None], tuple[int, str]]
@@ -99,10 +100,11 @@ def honeycomb_rows(send: Transport, api_url: str, dataset: str, key: str, lookba
 
 
 def datadog_spans(send: Transport, site: str, api_key: str, app_key: str, query: str, lookback: str, max_spans: int, page: int = 1000) -> Iterator[tuple[str, str, str]]:
-    """(span id, parent id, service) of a span search, by cursor, at most max_spans."""
+    """(span id, parent id, service) of a span search, by cursor, the newest max_spans of the
+    lookback ("1h" or "now-1h")."""
     headers, cursor, left = {"DD-API-KEY": api_key, "DD-APPLICATION-KEY": app_key}, None, max_spans
     while left > 0:
-        ask = {"filter": {"query": query, "from": f"now-{lookback}", "to": "now"}, "page": {"limit": min(page, left)}, "sort": "timestamp"}
+        ask = {"filter": {"query": query, "from": lookback if lookback.startswith("now") else f"now-{lookback}", "to": "now"}, "page": {"limit": min(page, left)}, "sort": "-timestamp"}
         if cursor:
             ask["page"]["cursor"] = cursor
         doc = request(send, "POST", f"https://api.{site}/api/v2/spans/events/search", headers, {"data": {"type": "search_request", "attributes": ask}})
@@ -187,7 +189,8 @@ def _table(spark: SparkSession, source: type[LiveSource], **options: str) -> Dat
 
 def from_dynatrace(spark: SparkSession, env_url: str | None = None, api_token: str | None = None, timeout: float = 30, source: type[LiveSource] = Dynatrace) -> DataFrame:
     """Edges between services by name; calls to what isn't known are dropped."""
-    table = _table(spark, source, env_url=credential(env_url, "DYNATRACE_ENV_URL"), api_token=credential(api_token, "DYNATRACE_API_TOKEN"), timeout=str(timeout))
+    # read once: a second pull might see other pages
+    table = kept(_table(spark, source, env_url=credential(env_url, "DYNATRACE_ENV_URL"), api_token=credential(api_token, "DYNATRACE_API_TOKEN"), timeout=str(timeout)))
     calls = table.select(F.col("name").alias("src"), F.explode("calls").alias("id"))
     return calls.join(table.select("id", F.col("name").alias("dst")), "id").where("src <> dst").select("src", "dst").distinct()
 
