@@ -12,26 +12,28 @@ Equal sets are one class first, so copies never pair up. Under a key, members ar
 compared with the key's smallest member, never all with all; components then tell
 which keys still hold members that aren't joined, and only those members are
 compared further: in keys of up to `SMALL` members across components, and for
-larger ones exactly, across components, where rare shingles are shared. No key's
-members ever meet in one task.
+larger ones exactly, across components, where rare shingles are shared: first with
+one hub for each shingle, which is linear and joins what belongs to a large group, then
+what is still apart and may link. No key's members ever meet in one task.
 
 Defined cases: null and empty texts, and texts of white space only, have an empty
 set, link with nothing and are kept; rows whose id is null are kept with a null
-component; rows that share an id are one document, linked if any of them is, and
-equal rows are one class; an empty table gives an empty result; other
-columns of the input are not touched.
+component; rows that share an id are one document, linked if any of them is (each
+text is a class of its own, and the classes of an id are linked); equal rows are
+one class; an empty table gives an empty result; other columns of the input are not
+touched. Identifiers go through Arrow as they are, so all 64 bits count.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, drop, mix, shingle_set, ship, written
+from .common import batch_rows, binary, components, drop, mix, shingle_set, ship, written
 
 WIDTH = 4
 MISS = 2e-6
@@ -88,122 +90,251 @@ def keys(sig: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, doc_id: str, text: str, words: int, m: int) -> DataFrame:
-    """(doc_id, n, cls, sig): set size, 128-bit hash of the set, signature bytes."""
+    """(id, n, cls, sig): set size, 128-bit hash of the set, signature bytes."""
+    import pyarrow as pa
     import xxhash
 
     def run(batches):
-        for pdf in batches:
-            sets = [shingle_set(t if isinstance(t, str) else None, words) for t in pdf["t"]]
+        for batch in batches:
+            sets = [shingle_set(t, words) for t in batch.column("t").to_pylist()]
             full = [i for i, s in enumerate(sets) if len(s)]
             sig = [b""] * len(sets)
             if full:
                 for i, row in zip(full, signatures([sets[i] for i in full], WIDTH * m)):
                     sig[i] = row.tobytes()
-            yield pd.DataFrame({"id": pdf["id"], "n": [len(s) for s in sets], "cls": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "sig": sig})
+            n, cls = pa.array([len(s) for s in sets], pa.int64()), [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "n": n, "cls": pa.array(cls, pa.binary()), "sig": pa.array(sig, pa.binary())})
 
     ship(docs.sparkSession)
-    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")).mapInPandas(run, "id long, n long, cls binary, sig binary")
+    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")).mapInArrow(run, "id long, n long, cls binary, sig binary")
 
 
 def _index(reps: DataFrame) -> DataFrame:
     """(key, id): each signature under its keys."""
+    import pyarrow as pa
 
     def run(batches):
-        for pdf in batches:
-            if len(pdf):
-                sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(len(pdf), -1)
-                k = keys(sig)
-                yield pd.DataFrame({"key": k.ravel(), "id": np.repeat(pdf["id"].to_numpy(), k.shape[1])})
+        for batch in batches:
+            if batch.num_rows:
+                k = keys(binary(batch.column("sig")).view(np.uint16).reshape(batch.num_rows, -1))
+                yield pa.RecordBatch.from_pydict({"key": k.ravel(), "id": np.repeat(batch.column("id").to_numpy(), k.shape[1])})
 
-    return reps.select("id", "sig").mapInPandas(run, "key long, id long")
+    return reps.select("id", "sig").mapInArrow(run, "key long, id long")
 
 
 def _near(pairs: DataFrame, reps: DataFrame, percent: int, far: int) -> DataFrame:
     """Of the pairs (u, v), those within signature distance `far` and of like size, with the distance."""
-    r = reps.select("id", "n", "sig")
+    import pyarrow as pa
 
-    def distance(a: pd.Series, b: pd.Series) -> pd.Series:
-        if not len(a):
-            return pd.Series([], dtype="int32")
-        x = np.frombuffer(b"".join(a), np.uint16).reshape(len(a), -1)
-        y = np.frombuffer(b"".join(b), np.uint16).reshape(len(a), -1)
-        return pd.Series((x != y).sum(1).astype("int32"))
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (binary(batch.column(c)).view(np.uint16).reshape(batch.num_rows, -1) for c in ("su", "sv"))
+                d = (x != y).sum(1).astype(np.int32)
+                near = d <= far
+                yield pa.RecordBatch.from_pydict({"u": batch.column("u").to_numpy()[near], "v": batch.column("v").to_numpy()[near], "d": d[near]})
 
-    distance.__annotations__ = {"a": pd.Series, "b": pd.Series, "return": pd.Series}
+    r = reps.select("id", "n", "sig")
     both = pairs.join(r.toDF("u", "nu", "su"), "u").join(r.toDF("v", "nv", "sv"), "v")
     both = both.where(100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv"))
-    return both.withColumn("d", F.pandas_udf(distance, "int")("su", "sv")).where(F.col("d") <= far).select("u", "v", "d")
+    return both.select("u", "v", "su", "sv").mapInArrow(run, "u long, v long, d int")
 
 
-#: Up to so many ids (16 MB) are broadcast to pick documents; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
+#: Up to so many documents (48 bytes each) are named to the readers by a broadcast; more by a shuffle join.
+BROADCAST_IDS = 300_000
+#: Rows with one or two full sets that go to a Python worker at a time.
+SETS_AT_A_TIME = 64
 
 
 class _Sets:
     """Confirms pairs on full sets: only the documents in question are read again, and
     a pair's sets meet in two equi-joins that Spark splits when one partner is hot."""
 
-    def __init__(self, docs: DataFrame, doc_id: str, text: str, words: int, percent: int):
-        self.docs, self.words, self.percent = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")), words, percent
+    def __init__(self, docs: DataFrame, reps: DataFrame, repeated: DataFrame, doc_id: str, text: str, words: int, percent: int):
+        self.docs, self.words, self.percent = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("t")), words, percent
+        self.reps, self.repeated = reps.select("id", "doc", "cls"), None if repeated.isEmpty() else repeated
+
+    def of(self, ids: DataFrame) -> DataFrame:
+        """(id, s): the full sets of classes, a written table; ids: (id)."""
+        import pyarrow as pa
+        import xxhash
 
-    def of(self, pairs: DataFrame) -> DataFrame:
-        """(id, s): the full sets of the documents in the pairs, a written table."""
         words = self.words
 
         def sets(batches):
-            for pdf in batches:
-                yield pd.DataFrame({"id": pdf["id"], "s": [shingle_set(t, words).tobytes() for t in pdf["t"]]})
-
-        needed = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-        needed = F.broadcast(needed) if needed.count() <= BROADCAST_IDS else needed
-        return written(self.docs.join(needed, "id", "left_semi").mapInPandas(sets, "id long, s binary"), "sets")
+            for batch in batches:
+                own, out = batch.column("id").to_numpy(), []
+                for t, cls in zip(batch.column("t").to_pylist(), batch.column("cls").to_pylist()):
+                    raw = shingle_set(t, words).tobytes()
+                    out.append(raw if xxhash.xxh3_128_digest(raw) == cls else None)
+                on = np.array([x is not None for x in out], bool)
+                yield pa.RecordBatch.from_pydict({"id": own[on], "s": pa.array([x for x in out if x is not None], pa.binary())})
+
+        needed = self.reps.join(ids.distinct(), "id")
+        n = ids.distinct().count()
+        found = self.docs.join(F.broadcast(needed) if n <= BROADCAST_IDS else needed, "doc").select("id", "cls", "t", "doc")
+        kind = "id long, s binary"
+        if self.repeated is None:
+            return written(found.mapInArrow(sets, kind), "sets")
+        # of rows that share their id and text, one stands for all
+        once = found.join(self.repeated, "doc", "left_anti").mapInArrow(sets, kind)
+        more = found.join(self.repeated, "doc", "left_semi").mapInArrow(sets, kind)
+        return written(once.union(more.dropDuplicates(["id"])), "sets")
 
     def linked(self, pairs: DataFrame, s: DataFrame) -> DataFrame:
-        percent = self.percent
-
-        def meets(a: pd.Series, b: pd.Series) -> pd.Series:
-            out = []
-            for x, y in zip(a, b):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                out.append(100 * both >= percent * (len(x) + len(y) - both))
-            return pd.Series(out, dtype=bool)
-
-        meets.__annotations__ = {"a": pd.Series, "b": pd.Series, "return": pd.Series}
-        both = pairs.select("u", "v").join(s.toDF("u", "a"), "u").join(s.toDF("v", "b"), "v")
-        return written(both.where(F.pandas_udf(meets, "boolean")("a", "b")).select("u", "v").distinct(), "links")
+        """The pairs (u, v) that reach the threshold, a written table."""
+        import pyarrow as pa
 
+        percent = self.percent
 
-def _sharing_rare(s: DataFrame, with_comp, percent: int) -> DataFrame:
-    """Pairs (u, v) in different components that share one of their rarest shingles, from
-    (id, s). Sets that reach the threshold share a shingle among the first
+        def run(batches):
+            for batch in batches:
+                on = np.zeros(batch.num_rows, bool)
+                for i, (x, y) in enumerate(zip(batch.column("a"), batch.column("b"))):
+                    x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    on[i] = 100 * both >= percent * (len(x) + len(y) - both)
+                yield pa.RecordBatch.from_pydict({c: batch.column(c).to_numpy()[on] for c in ("u", "v")})
+
+        both = pairs.select("u", "v").distinct().join(s.toDF("u", "a"), "u").join(s.toDF("v", "b"), "v")
+        with batch_rows(pairs.sparkSession, SETS_AT_A_TIME):
+            return written(both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long"), "links")
+
+
+class _Joined:
+    """Components by the links found so far."""
+
+    def __init__(self):
+        self.comp: DataFrame | None = None
+
+    def add(self, links: DataFrame) -> None:
+        """links is a written table, and goes."""
+        if not links.isEmpty():
+            old = self.comp
+            self.comp = components(links if old is None else old.toDF("u", "v").union(links.select("u", "v")))
+            if old is not None:
+                drop(old)
+        drop(links)
+
+    def of(self, ids: DataFrame, column: str = "id", name: str = "c") -> DataFrame:
+        """ids with the component that each is in by now."""
+        if self.comp is None:
+            return ids.withColumn(name, F.col(column))
+        return ids.join(self.comp.select(F.col("node").alias(column), F.col("comp").alias(name)), column, "left").withColumn(name, F.coalesce(name, column))
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (u, v) whose ends aren't in one component yet."""
+        return self.of(self.of(pairs, "u", "cu"), "v", "cv").where("cu <> cv").select("u", "v")
+
+
+#: Counters of the sketch by which shingles are ordered: so many bits at least and at most (32 MB), and counters of a block.
+SKETCH_BITS, SKETCH_BLOCK = (16, 24), 1 << 12
+
+
+def _frequencies(s: DataFrame, bits: int) -> np.ndarray:
+    """How many shingles of (id, s) have each value of their first `bits` bits, up to 65,535. Tasks
+    send what they counted by blocks; the result has a fixed size whatever the table's is."""
+    import pyarrow as pa
+
+    shift = np.uint64(64 - bits)
+    kinds = pa.schema([("block", pa.int32()), ("n", pa.binary())])
+
+    def rows(counts: np.ndarray):
+        blocks = counts.reshape(-1, SKETCH_BLOCK)
+        some = np.flatnonzero(blocks.any(1))
+        for at in range(0, len(some), 64):
+            part = some[at : at + 64]
+            out = [zlib.compress(np.minimum(blocks[i], 65_535).astype(np.uint16).tobytes(), 1) for i in part]
+            yield pa.RecordBatch.from_pydict({"block": part.astype(np.int32), "n": pa.array(out, pa.binary())}, schema=kinds)
+
+    def count(batches):
+        counts = np.zeros(1 << bits, np.uint32)
+        for batch in batches:
+            if batch.num_rows:
+                at, n = np.unique(binary(batch.column("s")).view(np.uint64) >> shift, return_counts=True)
+                counts[at.astype(np.int64)] += n.astype(np.uint32)
+        yield from rows(counts)
+
+    def add(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, n in zip(batch.column("block").to_pylist(), batch.column("n").to_pylist()):
+                n = np.frombuffer(zlib.decompress(n), np.uint16)
+                held[block] = np.minimum(held[block] + n, 65_535) if block in held else n.astype(np.uint32)
+        out = [(b, n.astype(np.uint16).tobytes()) for b, n in held.items()]
+        yield pa.RecordBatch.from_pydict({"block": pa.array([b for b, _ in out], pa.int32()), "n": pa.array([n for _, n in out], pa.binary())})
+
+    counts = np.zeros((1 << bits) // SKETCH_BLOCK * SKETCH_BLOCK, np.uint16).reshape(-1, SKETCH_BLOCK)
+    kind = "block int, n binary"
+    for block, n in s.select("s").mapInArrow(count, kind).repartition("block").mapInArrow(add, kind).toLocalIterator():
+        counts[block] = np.frombuffer(n, np.uint16)
+    return counts.ravel()
+
+
+def _rare(s: DataFrame, percent: int) -> DataFrame:
+    """(g, id, n, r): the shingles of a set, from (id, s), that a link must share, by rarity.
+
+    Sets that reach the threshold share a shingle among the first
     n - ceil(n * percent / 100) + 1 of each in any common order, so no link is lost, and in
     order of rarity the edits that keep a near copy out of a group come first: it meets
-    the members it may link with, not all of the group."""
+    the members it may link with, not all of the group. Rarity is told by a sketch of a
+    fixed size: any counts give a common order, better ones a more selective one. Shingles
+    that it counts once are in one set only and needn't go on."""
+    import pyarrow as pa
+
+    total = s.agg(F.sum(F.octet_length("s"))).first()[0] or 0
+    bits = min(max((total // 8).bit_length() + 1, SKETCH_BITS[0]), SKETCH_BITS[1])
+    counts = s.sparkSession.sparkContext.broadcast(_frequencies(s, bits))
+    shift = np.uint64(64 - bits)
 
     def each(batches):
-        for pdf in batches:
-            sets = [np.frombuffer(x, np.int64) for x in pdf["s"]]
-            n = [len(x) for x in sets]
-            if sum(n):
-                yield pd.DataFrame({"g": np.concatenate(sets), "id": np.repeat(pdf["id"].to_numpy(), n), "n": np.repeat(n, n)})
-
-    e = written(s.mapInPandas(each, "g long, id long, n long"), "each")
-    freq = e.groupBy("g").agg(F.count("*").alias("f"))
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("f", "g"))
-    first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    rare = e.join(freq, "g").withColumn("r", rank).where((F.col("r") <= first) & (F.col("f") > 1)).select("g", "id", "n", "r")
-    rare = written(with_comp(rare), "rare")
-    by = rare.groupBy("g", "c").agg(F.count("*").alias("k"))
+        for batch in batches:
+            gs, ids, ns, rs = [], [], [], []
+            for i, raw in zip(batch.column("id").to_pylist(), batch.column("s")):
+                own = np.frombuffer(raw.as_buffer(), np.uint64)
+                n = len(own)
+                f = counts.value[(own >> shift).astype(np.int64)]
+                order = np.lexsort((own, f))[: n - -(-n * percent // 100) + 1]
+                r = np.flatnonzero(f[order] > 1)
+                gs.append(own[order[r]].view(np.int64))
+                rs.append(r + 1)
+                ids.append(np.full(len(r), i, np.int64))
+                ns.append(np.full(len(r), n, np.int64))
+            if gs:
+                yield pa.RecordBatch.from_pydict({k: np.concatenate(v) for k, v in (("g", gs), ("id", ids), ("n", ns), ("r", rs))})
+
+    out = written(s.mapInArrow(each, "g long, id long, n long, r long"), "rare")
+    counts.destroy()
+    return out
+
+
+def _may_link(percent: int, nx="nx", rx="rx", ny="ny", ry="ry"):
+    """At the first shingle that two sets share, what is left of both bounds their intersection."""
+    most = F.least(F.col(nx) - F.col(rx), F.col(ny) - F.col(ry)) + 1
+    return (100 + percent) * most >= percent * (F.col(nx) + F.col(ny))
+
+
+def _hub_pairs(rare: DataFrame, joined: _Joined, percent: int) -> DataFrame:
+    """Pairs of each row of rare with its shingle's hub: the member with least before that
+    shingle, which is the one with fewest edits of its own. As many pairs as rows."""
+    rows = joined.of(rare)
+    hub = rows.groupBy("g").agg(F.min(F.struct("r", "id", "n", "c")).alias("h")).select("g", F.col("h.id").alias("y"), F.col("h.n").alias("ny"), F.col("h.r").alias("ry"), F.col("h.c").alias("cy"))
+    pairs = rows.join(hub, "g").withColumnsRenamed({"n": "nx", "r": "rx"}).where((F.col("c") != F.col("cy")) & _may_link(percent))
+    return pairs.select(F.greatest("id", "y").alias("u"), F.least("id", "y").alias("v")).distinct()
+
+
+def _open_pairs(rare: DataFrame, joined: _Joined, percent: int) -> DataFrame:
+    """Pairs in different components that share a shingle of rare and may link by it."""
+    rows = written(joined.of(rare), "rows")
+    by = rows.groupBy("g", "c").agg(F.count("*").alias("k"))
     main = by.groupBy("g").agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
     # members outside a shingle's largest component, against all under that shingle
-    few = rare.join(main, "g").where("c <> main").selectExpr("g", "id as x", "c as cx", "n as nx", "r as rx")
-    rest = rare.selectExpr("g", "id as y", "c as cy", "n as ny", "r as ry")
-    # at the first shingle that two sets share, what is left of both bounds their intersection
-    most = F.least(F.col("nx") - F.col("rx"), F.col("ny") - F.col("ry")) + 1
-    enough = (100 + percent) * most >= percent * (F.col("nx") + F.col("ny"))
-    pairs = few.join(rest, (few["g"] == rest["g"]) & (F.col("cx") != F.col("cy")) & enough)
-    return pairs.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
+    few = rows.join(main, "g").where("c <> main").selectExpr("g", "id as x", "c as cx", "n as nx", "r as rx")
+    rest = rows.selectExpr("g", "id as y", "c as cy", "n as ny", "r as ry")
+    pairs = few.join(rest, (few["g"] == rest["g"]) & (F.col("cx") != F.col("cy")) & _may_link(percent))
+    out = written(pairs.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct(), "pairs")
+    drop(rows)
+    return out
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -212,89 +343,71 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     linked, a component is named by its smallest id, and that document is kept."""
     m = chunks_for(percent / 100)
     far, ratio = 2 * m - 1, percent / 100
-    sk = written(sketch(docs, doc_id, text, words, m), "sketch")
+    # rows get a number of their own: a class is named by its least one, whatever the identifiers are
+    sk = written(sketch(docs, doc_id, text, words, m).withColumn("row", F.monotonically_increasing_id()), "sketch")
     members = sk.where("n > 0 and id is not null")
-    classes = written(members.groupBy("cls").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
-    # rows that repeat an id are one document: it is indexed by the signature of one of them
-    reps = written(classes.groupBy("id").agg(*[F.min_by(c, "cls").alias(c) for c in ("n", "sig")]), "reps")
-    sets = _Sets(docs, doc_id, text, words, percent)
-
-    comp: DataFrame | None = None
-    links: DataFrame | None = None
-
-    def add(pairs: DataFrame, s: DataFrame) -> None:
-        nonlocal comp, links
-        found = sets.linked(pairs, s)
-        if found.isEmpty():
-            return
-        links = found if comp is None else comp.select(F.col("node").alias("u"), F.col("comp").alias("v")).union(found.select("u", "v"))
-        comp = components(links)
-
-    def apart(pairs: DataFrame) -> DataFrame:
-        """Pairs whose ends aren't in one component yet."""
-        if comp is None:
-            return pairs
-        c = comp
-        return (
-            pairs.join(c.toDF("u", "cu"), "u", "left").join(c.toDF("v", "cv"), "v", "left")
-            .where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).drop("cu", "cv")
-        )
-
-    def with_comp(ids: DataFrame) -> DataFrame:
-        """ids with the component c that each is in by now."""
-        if comp is None:
-            return ids.withColumn("c", F.col("id"))
-        return ids.join(comp.select(F.col("node").alias("id"), F.col("comp").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
-
-    def confirm(pairs: DataFrame) -> None:
-        near = written(_near(pairs, reps, percent, far).select("u", "v"), "near")
-        s = sets.of(near)
-        add(near, s)
-        drop(s)
-        drop(near)
+    classes = written(members.groupBy("cls").agg(F.min("row").alias("row")), "classes")
+    reps = written(members.join(classes.select("row"), "row", "left_semi").select(F.col("row").alias("id"), F.col("id").alias("doc"), "cls", "n", "sig"), "reps")
+    repeated = written(members.groupBy("id").agg(F.count("*").alias("k")).where("k > 1").select(F.col("id").alias("doc")), "repeated")
+    sets, joined = _Sets(docs, reps, repeated, doc_id, text, words, percent), _Joined()
+    ends = lambda pairs: pairs.select(F.explode(F.array("u", "v")).alias("id"))
+
+    if sets.repeated is not None:  # the classes of one identifier are linked
+        own = members.join(repeated.withColumnRenamed("doc", "id"), "id", "left_semi").select("id", "cls").distinct().join(classes, "cls")
+        least = own.groupBy("id").agg(F.min("row").alias("v"))
+        joined.add(written(own.join(least, "id").where("row <> v").select(F.col("row").alias("u"), "v"), "same"))
 
     def groups(index: DataFrame) -> DataFrame:
         """(key, id, pivot, size) for keys with two members or more."""
         g = index.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("size")).where("size > 1")
         return written(index.join(g, "key"), "groups")
 
-    def stars(g: DataFrame) -> DataFrame:
-        pairs = g.where("id <> pivot").select(F.col("id").alias("u"), F.col("pivot").alias("v")).distinct()
-        return written(_near(pairs, reps, percent, far), "stars")
-
     index = groups(_index(reps))
-    star = stars(index)
+    star = index.where("id <> pivot").select(F.col("id").alias("u"), F.col("pivot").alias("v")).distinct()
+    star = written(_near(star, reps, percent, far), "stars")
     # one confirmed partner for each document settles most components: its smallest likely one
     likely = F.struct((F.col("d") > (1 - ratio) * WIDTH * m).alias("far"), "v")
-    s = sets.of(star)
-    add(star.groupBy("u").agg(F.min(likely).alias("b")).select("u", "b.v"), s)
-    add(apart(star.select("u", "v")), s)
+    s = sets.of(ends(star))
+    joined.add(sets.linked(star.groupBy("u").agg(F.min(likely).alias("b")).select("u", "b.v"), s))
+    joined.add(sets.linked(joined.apart(star.select("u", "v")), s))
     drop(s)
     drop(star)
 
     # keys whose members are still in several components
-    held = with_comp(index)
+    held = joined.of(index)
     mixed = held.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
     left = written(held.join(mixed, "key", "left_semi"), "open")
     drop(index)
     small = left.where(F.col("size") <= SMALL)
     a, b = small.select("key", F.col("id").alias("v"), F.col("c").alias("cv")), small.select("key", F.col("id").alias("u"), F.col("c").alias("cu"))
     cross = a.join(b, "key").where("u > v and cu <> cv").select("u", "v").distinct()
-    confirm(cross)
+    near = written(_near(cross, reps, percent, far).select("u", "v"), "near")
+    s = sets.of(ends(near))
+    joined.add(sets.linked(near, s))
+    drop(s)
+    drop(near)
     rest = written(left.where(F.col("size") > SMALL).select("id").distinct(), "rest")
     drop(left)
     if not rest.isEmpty():
-        confirm(_sharing_rare(sets.of(rest.select(F.col("id").alias("u"), F.col("id").alias("v"))), with_comp, percent))
+        s = sets.of(rest)
+        rare = _rare(s, percent)
+        joined.add(sets.linked(_hub_pairs(rare, joined, percent), s))
+        pairs = _open_pairs(rare, joined, percent)
+        joined.add(sets.linked(pairs, s))
+        for table in (s, rare, pairs):
+            drop(table)
     drop(rest)
 
-    by_class = classes.select("cls", F.col("id").alias("rep"))
-    if comp is not None:
-        by_class = by_class.join(comp.toDF("rep", "comp"), "rep", "left").select("cls", F.coalesce("comp", "rep").alias("comp"))
-    else:
-        by_class = by_class.select("cls", F.col("rep").alias("comp"))
-    out = sk.join(by_class, "cls", "left")
-    own = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("comp", "id"))
-    return out.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), own.alias("component_id"), F.coalesce(F.col("id") == own, F.lit(True)).alias("kept"))
+    # a component is named by its smallest identifier
+    by_class = joined.of(classes.withColumnRenamed("row", "id")).select("cls", "c")
+    inside = members.select("id", "n", "cls").join(by_class, "cls").select("id", "n", "c")
+    name = inside.groupBy("c").agg(F.min("id").alias("own"))
+    outside = sk.where("n = 0 or id is null").select("id", "n", F.col("id").alias("own"))
+    out = inside.join(name, "c").select("id", "n", "own").unionByName(outside)
+    out = written(out.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"), F.col("own").alias("component_id"), F.coalesce(F.col("id") == F.col("own"), F.lit(True)).alias("kept")), "judged")
+    for table in (sk, classes, reps, repeated, *([joined.comp] if joined.comp is not None else [])):
+        drop(table)
+    return out
 
 
 def op6_near_duplicates(spark, sf_dir: str) -> DataFrame:
