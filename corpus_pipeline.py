@@ -35,6 +35,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of each group of near copies (5-word shingles, similarity 0.8)."""
     judged = neardup.near_duplicates(docs, words=5, percent=80)
     gone = common.written(judged.where(~F.col("kept")).select("doc_id").distinct(), "gone")
+    common.drop(judged)
     return docs.join(_counted(gone, BROADCAST_IDS), "doc_id", "left_anti").select(*DOCUMENTS)
 
 
@@ -47,7 +48,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document; spans with a secret that is no copied example are masked in its text."""
     keyed = docs.withColumn("__key", F.xxhash64("text"))
-    found = secrets.with_spans(keyed, keep=("doc_id", "__key"))
+    found = secrets.with_spans(keyed, repo=("source", "lang"), keep=("doc_id", "__key"))
     hit = F.filter(F.array_sort(F.concat("__base", "__added")), lambda x: ~F.array_contains("__examples", x))
     found = found.select(F.col("doc_id").alias("__id"), F.col("__key").alias("__k"), hit.alias("__hit")).where(F.size("__hit") > 0).distinct()
     found = common.written(found, "secrets")
@@ -74,7 +75,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.read(spark, sf_dir, "documents")
+    docs, before = common.read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = common.written(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if before is not None:
+            common.drop(before)  # its last reader is done
+        before = docs
+    out = STAGES[-1][1](spark, docs, sf_dir)  # packing has read its documents by then
+    common.drop(docs)
+    return out
