@@ -28,14 +28,15 @@ def provider_of(model: str) -> tuple[str, str]:
     return ("anthropic", model) if re.search("claude|anthropic", model) else ("openai", model)
 
 
-def explain(vectors: DataFrame, risks: DataFrame, model: str, call: Model, prompt: str = PROMPT) -> str:
-    return call(*provider_of(model), [{"role": "user", "content": f"{prompt}\n\n{context(vectors, risks)}"}])
+def explain(vectors: DataFrame, risks: DataFrame, model: str, call: Model, prompt: str = PROMPT, k: int | None = None) -> str:
+    """k: show at most so many nodes and risks, and say how many more there are."""
+    return call(*provider_of(model), [{"role": "user", "content": f"{prompt}\n\n{context(vectors, risks, k)}"}])
 
 
-def ask(vectors: DataFrame, risks: DataFrame, question: str, model: str, call: Model, history: list[dict[str, str]] | None = None) -> tuple[str, list[dict[str, str]]]:
+def ask(vectors: DataFrame, risks: DataFrame, question: str, model: str, call: Model, history: list[dict[str, str]] | None = None, k: int | None = None) -> tuple[str, list[dict[str, str]]]:
     """(answer, history with this turn)."""
     turns = [*(history or []), {"role": "user", "content": question}]
-    answer = call(*provider_of(model), [{"role": "system", "content": context(vectors, risks)}, *turns])
+    answer = call(*provider_of(model), [{"role": "system", "content": context(vectors, risks, k)}, *turns])
     return answer, [*turns, {"role": "assistant", "content": answer}]
 
 

@@ -161,12 +161,14 @@ def headline(n_nodes: int, n_edges: int, max_depth: int, risks: DataFrame) -> st
     return f"{n_nodes} nodes, {n_edges} edges, depth {max_depth}; " + ", ".join(f"{counts.get(s, 0)} {s}" for s in SEVERITIES)
 
 
-def context(vectors: DataFrame, risks: DataFrame, k: int = 50) -> str:
-    """What a language model is told: the k most critical vectors, then risks. No file contents."""
-    v = ranked(vectors, k).collect()
-    r = sort(risks).limit(k).collect()
+def context(vectors: DataFrame, risks: DataFrame, k: int | None = None) -> str:
+    """What a language model is told: every vector, the most critical first, then every risk; with
+    k at most so many of each, and how many were left out. No file contents."""
+    v, r = ranked(vectors, k).collect(), (sort(risks) if k is None else sort(risks).limit(k)).collect()
+    more = lambda df, rows: [] if k is None or not (n := df.count() - len(rows)) else [f"({n} more)"]
     lines = [", ".join([x["node"], *[f"{d} {x[d]:.3f}" for d in x.asDict() if d != "node"]]) for x in v]
-    return "\n".join(["Nodes by criticality:", *lines, "Risks:", *[f"{x['severity']} {x['category']} {x['node']} {x['value']:.3f}" for x in r]])
+    found = [f"{x['severity']} {x['category']} {x['node']} {x['value']:.3f}" for x in r]
+    return "\n".join(["Nodes by criticality:", *lines, *more(vectors, v), "Risks:", *found, *more(risks, r)])
 
 
 def to_json(df: DataFrame) -> DataFrame:

@@ -63,3 +63,28 @@ def test_rounds_agree_and_raise(spark):
         graph.break_cycles(e, max_rounds=1, small=0)
     by = by_node(graph.path_share(pairs(spark, "a>b b>c a>c")))
     assert [by[n]["share"] for n in "abc"] == [1, 0.5, 1]
+
+
+def test_document_and_gate(spark, tmp_path, capsys):
+    import json
+
+    from edgeloom import cli
+
+    rules = tmp_path / "rules.json"
+    rules.write_text(json.dumps([{"category": "SINGLE_POINT_OF_FAILURE", "severity": "critical", "condition": "independence = 0", "value": "criticality"}]))
+    assert cli.main(["--edges", "a -> b\nb -> c", "--rules", str(rules), "--gate"], spark) == 3
+    found = json.loads(capsys.readouterr().out)
+    assert found["metadata"] == {"n_nodes": 3, "n_edges": 2, "max_depth": 2} and len(found["risks"]) == 3 and found["vectors"]["c"]["depth"] == 1
+    assert cli.main(["--edges", "a -> b", "--document"], spark) == 0 and json.loads(capsys.readouterr().out)["risks"] == []
+    rules.write_text('[{"nothing": 1}]')
+    assert cli.main(["--edges", "a -> b", "--rules", str(rules)], spark) == 1
+
+
+def test_context_says_what_is_left_out(spark):
+    from edgeloom.operators import risks
+
+    v = spark.createDataFrame([(f"n{i:02}", float(i)) for i in range(60)], "node string, criticality double")
+    r = spark.createDataFrame([(f"n{i:02}", "CONVERGENCE_SINK", "info", "", 0.5) for i in range(60)], "node string, category string, severity string, description string, value double")
+    whole, some = risks.context(v, r), risks.context(v, r, 5)
+    assert all(whole.count(f"n{i:02}") == 2 for i in range(60)) and "more)" not in whole
+    assert some.count("(55 more)") == 2
