@@ -86,7 +86,11 @@ class Compared:
 
 def compare(before: DataFrame, after: DataFrame, rules: list[Rule] = ()) -> Compared:
     """Measures of two versions of a graph and what changed."""
-    b, a = measures(before), measures(after)
+    from ..results import in_background
+
+    first = in_background(measures, before)  # Spark runs both graphs' jobs side by side
+    a = measures(after)
+    b = first.result()
     rb, ra = apply_rules(b.vectors, list(rules)), apply_rules(a.vectors, list(rules))
     only = lambda x, y: x.join(y.select("node", "category"), ["node", "category"], "left_anti").select(*x.columns)
     return Compared(b, a, drift_.drift(b.vectors, a.vectors, MEASURES), only(ra, rb), only(rb, ra))

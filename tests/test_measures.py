@@ -88,3 +88,21 @@ def test_context_says_what_is_left_out(spark):
     whole, some = risks.context(v, r), risks.context(v, r, 5)
     assert all(whole.count(f"n{i:02}") == 2 for i in range(60)) and "more)" not in whole
     assert some.count("(55 more)") == 2
+
+
+def test_tools(spark, tmp_path):
+    from edgeloom import tools
+
+    (tmp_path / "compose.yml").write_text("services:\n  a:\n    depends_on: [b, c]\n  b: {}\n  c: {}\n")
+    assert tools.TOOLS["scan_compose"](spark, str(tmp_path / "compose.yml"))["edges"] == [["a", "b"], ["a", "c"]]
+    found = tools.scan_directory(spark, str(tmp_path), most=1)
+    assert len(found["edges"]) == 1 and found["n_edges"] == 2 and found["sources"] == {"docker-compose": 2}
+    rule = {"category": "AMPLIFICATION_RISK", "severity": "warning", "condition": "fanout = 1", "value": "fanout"}
+    got = tools.measure(spark, [("a", "b"), ("b", "c")], [rule])
+    assert got["metadata"]["max_depth"] == 2 and [x["node"] for x in got["risks"]] == ["a"]
+    out = tools.simulate(spark, [("a", "b"), ("b", "c")], add=[("c", "d")])
+    assert {x["node"] for x in out["drift"]} >= {"c", "d"} and tools.diff(spark, [("a", "b"), ("b", "c")], [("b", "c"), ("a", "b")])["n_changes"] == 0
+    assert tools.pasted(spark, "a -> b").collect()[0]["dst"] == "b"
+    assert {tuple(x) for x in tools.pasted(spark, 'g.add_edge("x", "y")', "langgraph").collect()} == {("x", "y")}
+    with pytest.raises(ValueError, match="unknown format"):
+        tools.pasted(spark, "", "nothing")
