@@ -16,13 +16,20 @@ from pyspark.sql import functions as F
 from .edges import nodes
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """df, checkpointed in spark.checkpoint.dir (a folder of this process where unset, on one machine only)."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+def folder(spark) -> str:
+    """spark.checkpoint.dir; where it is unset, a folder of this process, on one machine only."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="edgeloom-"))
+        found = "file://" + tempfile.mkdtemp(prefix="edgeloom-")
+        spark.sparkContext.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df, checkpointed in that folder."""
+    folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -268,12 +275,12 @@ def path_share(edges: DataFrame, layered: DataFrame | None = None) -> DataFrame:
 
     def counts(near: str, far: str, order: list[int]) -> DataFrame:
         # a node's count is the sum of its neighbours', or 1 at an end
-        folder = f"{_folder(spark)}/paths-{uuid.uuid4().hex}"
+        place = f"{folder(spark)}/paths-{uuid.uuid4().hex}"
         parts, filed = [], set()
         for layer in order:
             here = own.where(F.col("layer") == layer).select("node")
             if layer in filed:
-                got = spark.read.schema("node string, q double").parquet(f"{folder}/to={layer}").groupBy("node").agg(F.sum("q").alias("p"))
+                got = spark.read.schema("node string, q double").parquet(f"{place}/to={layer}").groupBy("node").agg(F.sum("q").alias("p"))
                 here = here.join(got, "node", "left").select("node", F.coalesce("p", F.lit(1.0)).alias("p"))
             else:
                 here = here.withColumn("p", F.lit(1.0))
@@ -281,13 +288,13 @@ def path_share(edges: DataFrame, layered: DataFrame | None = None) -> DataFrame:
             parts.append(here)
             out = e.where(F.col(f"{far}_layer") == layer).join(here.withColumnRenamed("node", far), far)
             sums = kept(out.groupBy(F.col(near).alias("node"), F.col(f"{near}_layer").alias("to")).agg(F.sum("p").alias("q")))
-            sums.write.partitionBy("to").mode("append").parquet(folder)
+            sums.write.partitionBy("to").mode("append").parquet(place)
             filed |= {r["to"] for r in sums.select("to").distinct().collect()}
         done = parts[0]
         for p in parts[1:]:
             done = done.unionByName(p)
         done = kept(done)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(place)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
         return done
 
@@ -298,11 +305,6 @@ def path_share(edges: DataFrame, layered: DataFrame | None = None) -> DataFrame:
     return both.crossJoin(F.broadcast(total)).select("node", "paths_in", "paths_out", (F.col("paths_in") * F.col("paths_out") / F.col("total")).alias("share"))
 
 
-def _folder(spark) -> str:
-    """The folder of checkpoints (set by then)."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()).rstrip("/")
-
-
 def weak_components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest name each node reaches, directions aside."""
     n = nodes(edges)

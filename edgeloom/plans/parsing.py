@@ -6,9 +6,15 @@ the second key is larger by less than `SPAN`; a nation is a file or a folder."""
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.graph import folder
+from ..sources import from_autogen, from_aws_cdk, from_cloudformation, from_crewai, from_directory, from_docker_compose, from_github_actions, from_kubernetes
+from ..sources import from_langgraph, from_otel_traces, from_package_json_workspaces, from_pulumi, from_python_imports, from_terraform, graph_documents
 from ..sources.files import chat_edges, dependency_edges, facts, import_edges, is_template, known_refs, kubernetes_edges, plain_edges, trace_edges, workspace_edges
 from ..sources.text import text_edges
 from .graphs import SPAN as EVENTS
@@ -254,3 +260,90 @@ def parse_text_edges(spark: SparkSession, d: str) -> DataFrame:
         .when(kind == 2, F.concat(F.lit("a remark\n"), lines(" -> "))).when(kind == 3, F.concat(F.lit("source,target\n# all of them\n"), lines(","))).otherwise(lines("|"))
     )
     return text_edges(pairs.select(F.concat(F.lit("n"), F.col("f").cast("string")).alias("path"), text.alias("content")))
+
+
+# --- files and directories ------------------------------------------------------------
+# A source tree of some few files, one of each format, that all hold the chain of nations by key.
+
+
+def _chain(spark: SparkSession, d: str) -> list[tuple[str, str]]:
+    keys = [r[0] for r in table(spark, d, "nation").select("n_nationkey").orderBy("n_nationkey").limit(100).collect()]  # what the tree's few files name
+    names = [f"n{k:02}x" for k in keys]
+    return list(zip(names, names[1:]))
+
+
+_CHAIN = "n AS (SELECT 'n' || lpad(n_nationkey::VARCHAR, 2, '0') || 'x' AS x, lead('n' || lpad(n_nationkey::VARCHAR, 2, '0') || 'x') OVER (ORDER BY n_nationkey) AS y FROM nation), c AS (SELECT x AS src, y AS dst FROM n WHERE y IS NOT NULL)"
+
+
+def _tree(pairs: list[tuple[str, str]]) -> dict[str, str]:
+    names = [pairs[0][0], *[b for _, b in pairs]]
+    after = dict(pairs)
+    of = lambda f, sep="": sep.join(f(x, after.get(x)) for x in names)
+    k8s = lambda x, y: f"kind: Service\nmetadata: {{name: {x}}}\nspec: {{selector: {{app: {x}-app}}}}\n---\n" + (f"kind: Ingress\nmetadata: {{name: {x}}}\nspec: {{rules: [{{http: {{paths: [{{backend: {{service: {{name: {y}}}}}}}]}}}}]}}\n---\n" if y else "")
+    zipkin = [{"traceId": "t", "id": x, "parentId": names[i - 1] if i else None, "localEndpoint": {"serviceName": x}} for i, x in enumerate(names)]
+    tree = {
+        "docker-compose.yml": "services:\n" + of(lambda x, y: f"  {x}:\n    depends_on: [{y or ''}]\n"),
+        "k8s/all.yaml": of(k8s),
+        ".github/workflows/flow.yml": "name: f\njobs:\n" + of(lambda x, y: f"  {x}:\n" + (f"    needs: {names[names.index(x) - 1]}\n" if x != names[0] else "    runs-on: y\n")),
+        "main.tf": of(lambda x, y: f'resource "r" "{x}" {{\n  a = {"r." + y + ".id" if y else 1}\n}}\n'),
+        "package.json": json.dumps({"name": "root-of-all"}),
+        "stack.json": json.dumps({"Resources": {x: {"Type": "T", "Properties": {"a": {"Ref": after[x]} if x in after else 1}} for x in names}}),
+        "zipkin.json": json.dumps(zipkin),
+        "cdk.py": "import aws_cdk\n" + of(lambda x, y: f'{x} = aws_cdk.T(self, "{x}", a={y})\n'),
+        "infra.py": "import pulumi\n" + of(lambda x, y: f'{x} = pulumi.T("{x}", a={y})\n'),
+        "agents.py": "from langgraph import x\n" + "".join(f'g.add_edge("{a}", "{b}")\n' for a, b in pairs),
+        "crew.py": "from crewai import x\n" + of(lambda x, y: f"{x} = Task(context=[{names[names.index(x) - 1] if x != names[0] else ''}])\n"),
+        "chats.py": "from autogen import x\n" + "".join(f"{a}.initiate_chat({b})\n" for a, b in pairs),
+    }
+    tree |= {f"pkg/{x}.py": f"from pkg.{after[x]} import a\n" if x in after else "a = 1\n" for x in names}
+    return tree | {f"parts/{x}/package.json": json.dumps({"name": x, "dependencies": {after.get(x, "left"): "1"}}) for x in names}
+
+
+def _put(spark: SparkSession, tree: dict[str, str]) -> str:
+    """The tree as files in the shared folder, by Hadoop's file systems."""
+    root = f"{folder(spark)}/tree-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name, text in tree.items():
+        out = fs.create(path(f"{root}/{name}"))
+        out.write(bytearray(text.encode()))
+        out.close()
+    return root
+
+
+_FORMATS = {
+    "docker-compose": ("docker-compose.yml", from_docker_compose), "kubernetes": ("k8s", from_kubernetes), "github-actions": (".github/workflows", from_github_actions), "terraform": ("main.tf", from_terraform),
+    "python-imports": ("", from_python_imports), "package-json": ("", from_package_json_workspaces), "cloudformation": ("stack.json", from_cloudformation), "aws-cdk": ("cdk.py", from_aws_cdk),
+    "pulumi": ("infra.py", from_pulumi), "langgraph": ("agents.py", from_langgraph), "crewai": ("crew.py", from_crewai), "autogen": ("chats.py", from_autogen), "otel-traces": ("zipkin.json", from_otel_traces),
+}
+_LABELS = "l AS (SELECT unnest([" + ", ".join(f"'{x}'" for x in _FORMATS) + "]) AS source)"
+_FLOW = "SELECT 'github-actions' AS source, 'f/' || src AS src, 'f/' || dst AS dst FROM c UNION ALL SELECT 'github-actions', 'f', 'f/' || min(src) FROM c"
+
+
+@query(f"WITH {_CHAIN}, {_LABELS} SELECT source, src, dst FROM c, l WHERE source <> 'github-actions' UNION ALL {_FLOW}")
+def files_of_each_format(spark: SparkSession, d: str) -> DataFrame:
+    """Each format's reader on its own file or folder."""
+    root, out = _put(spark, _tree(_chain(spark, d))), None
+    for name, (path, read) in _FORMATS.items():
+        own = read(spark, f"{root}/{path}".rstrip("/")).select(F.lit(name).alias("source"), "src", "dst")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+@query(f"WITH {_CHAIN} SELECT src, dst FROM c UNION SELECT src, dst FROM ({_FLOW})")
+def directory_edges(spark: SparkSession, d: str) -> DataFrame:
+    return from_directory(spark, _put(spark, _tree(_chain(spark, d))))[0]
+
+
+@query(f"WITH {_CHAIN}, {_LABELS} SELECT source, count(*) + CASE source WHEN 'github-actions' THEN 1 ELSE 0 END AS n_edges FROM c, l GROUP BY source")
+def directory_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Counts by format, before edges that several formats hold become one."""
+    return from_directory(spark, _put(spark, _tree(_chain(spark, d))))[1]
+
+
+@query(f"WITH {_CHAIN} SELECT src, dst, row_number() OVER (PARTITION BY f ORDER BY src) - 1 AS ord, f AS file FROM c, (SELECT unnest(['array', 'object']) AS f)")
+def graph_document_edges(spark: SparkSession, d: str) -> DataFrame:
+    """A graph as a JSON object and as a bare array."""
+    pairs = _chain(spark, d)
+    root = _put(spark, {"object.json": json.dumps({"name": "g", "edges": [{"source": a, "target": b} for a, b in pairs]}), "array.json": json.dumps(pairs)})
+    return graph_documents(spark, root).select("src", "dst", "ord", F.regexp_extract("path", r"(\w+)\.json$", 1).alias("file"))

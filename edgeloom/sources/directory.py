@@ -35,10 +35,20 @@ def formats(path: Column, content: Column) -> Column:
     return F.filter(F.array(*[F.when(c, F.lit(n)) for n, c in tests.items()]), lambda x: x.isNotNull())
 
 
+def _all_files(spark: SparkSession, path: str) -> DataFrame:
+    """The files of a tree, and its workflows: Spark's listing passes hidden folders over."""
+    root, hidden = path.rstrip("/"), ".github/workflows"
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{hidden}")
+    found = files(spark, path)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        found = found.unionByName(files(spark, f"{root}/{hidden}").withColumn("path", F.concat(F.lit(f"{hidden}/"), "path")))
+    return found
+
+
 def from_directory(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(edges, counts): distinct edges, and (source, n_edges) before duplicates across formats go.
     Files that can't be parsed have no facts."""
-    table = inside(files(spark, path))
+    table = inside(_all_files(spark, path))
     table = table.select("path", "content", F.explode(formats(F.col("path"), F.col("content"))).alias("fmt"))
     f = facts(table, F.col("fmt"), strict=False).cache()  # small: a fact is a few names
     # workspaces count only where the root has a package of its own
