@@ -5,52 +5,60 @@ document with a smaller identifier. It is answered in four steps.
 A text that a smaller document has too, whole, goes at once and takes no further part.
 
 1  Anchors. Of every `length`-byte window the q-gram with the least hash is its anchor
-   (a minimizer), so equal windows have equal anchors. Anchor hashes go to shards by
-   range, a document's each once; a shard tells which hashes several documents hold.
-2  Segments. In documents with such anchors, the windows of one anchor occurrence are
+   (a minimizer), so equal windows have equal anchors. Each task settles what it can by
+   itself: an anchor that two documents of one block hold is shared, and only its first
+   and last document go on. The rest goes to shards by range of the hash, a row for each
+   shard and block, so a common anchor sends two entries a block however many hold it.
+2  Segments. In documents with shared anchors, the windows of one anchor occurrence are
    one segment, 50 to 50 + w - 1 bytes. Segments that hold no shared anchor can't repeat,
    so what goes on is the repeated part of the corpus and little else. Equal segments are
    one, with their smallest document (combined before the shuffle), so a text that a
-   third of all documents copy is sorted once.
-3  Sorting. A shard's distinct segments are concatenated, and its suffix array with common
-   prefix lengths is induced on disk: starred suffixes are sorted in runs and merged,
-   L-suffixes and then S-suffixes follow from queues on disk that are served in the order
-   of (first byte, arrival), and carry with each suffix the common prefix with the one
-   before it. Suffixes are told apart to `length` bytes only, which is all that the
-   question needs; so the recursion ends at its first level. Neighbours whose common
-   prefix reaches `length` are one string: its smallest document is known.
+   third of all documents copy is sorted once. An anchor with more than `HOT` different
+   segments is spread by the bytes beside it: each of its windows holds 13 of them on one side.
+3  Sorting. A shard's distinct segments stream into a text on disk, and its suffix array with
+   common prefix lengths comes by induced sorting there (`External`): substrings between
+   starred suffixes are sorted by distribution over files and named; the string of names
+   is sorted by recursion, or in memory once it has at most `BASE` times `memory` names;
+   L-suffixes and then S-suffixes follow from priority queues on disk ordered by (first
+   letter, arrival), whose tuples carry the suffix and its common prefix with the one
+   before it. All of it works on blocks of `memory` entries; the text, the queues' runs and
+   the orders are files, in the folder that Spark names for a task's own spill.
+   Suffixes are told apart to `length` bytes only, which is all that the question needs.
+   Neighbours whose common prefix reaches `length` are one string: its smallest document
+   is known.
 4  Spans. Each segment's windows with their smallest document go back to its occurrences,
    and a document's covered bytes are the union.
 
-Every step's shuffle carries at most a few bytes for each byte of text; a shard holds a
-bounded number of anchors (`PER_SHARD`), whatever the corpus' size, and its queues spill
-to the task's own temporary folder beyond `MEMORY` entries.
+Every step's shuffle carries at most a few bytes for each byte of text.
 
 Defined cases: null text is empty; texts under `length` bytes keep everything; rows
 that share an identifier aren't smaller than one another, and each is judged by itself;
-a null identifier is larger than all others; an empty table gives an empty result;
-only the identifier and the text are read.
+a null identifier is larger than all others (and ranks with 2^63 - 1); an empty table
+gives an empty result; only the identifier and the text are read.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import os
 import tempfile
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop, mix, ship, written
+from .common import batch_rows, binary, drop, mix, ship, written
 
 LENGTH, Q = 50, 24
-#: Anchors of one shard, about, and queue entries that stay in memory.
-PER_SHARD, MEMORY = 4_000_000, 2_000_000
-#: Bytes of text whose anchors are found at a time.
-CHUNK = 1 << 20
+#: Anchors of one shard and bytes of segments of one, about.
+PER_SHARD, SEGMENT_BYTES = 500_000, 1_500_000
+#: Entries of a block; twice as many of a queue or an order are held, and BASE times as many
+#: of a plain array or of names that are sorted without a further level. The rest is on disk.
+MEMORY, BASE = 500_000, 4
+#: Different segments beyond which an anchor is spread, and the bytes beside it that spread it.
+HOT, BESIDE = 20_000, 13
+#: Bytes of text whose anchors are found at a time, anchors of a block, and rows given on together.
+CHUNK, BLOCK, ROWS = 1 << 20, 400_000, 100_000
 #: Up to so many ids (16 MB) are broadcast to pick documents.
 BROADCAST_IDS = 1_000_000
 NULL_ID = (1 << 63) - 1
@@ -100,7 +108,7 @@ def anchor_hashes(b: np.ndarray, length: int, q: int) -> np.ndarray:
 
 
 def segments(b: np.ndarray, length: int, q: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, first window, last window) of the occurrences of wanted anchors, in order. Of
+    """(anchor hash, first window, last window, place of the anchor) of the occurrences of wanted anchors, in order. Of
     equal least hashes in a window the last is the anchor: that depends on the window alone."""
     h, least = window_hashes(b, length, q)
     start = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
@@ -108,7 +116,7 @@ def segments(b: np.ndarray, length: int, q: int, wanted: np.ndarray) -> tuple[np
     on = wanted[np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)] == keys
     own = np.flatnonzero(np.repeat(on, np.diff(np.append(start, len(least)))))
     if not len(own):
-        return np.empty(0, np.uint64), own, own
+        return np.empty(0, np.uint64), own, own, own
     place, todo = np.empty(len(own), np.int64), np.arange(len(own))
     for back in range(length - q, -1, -1):
         at = own[todo]
@@ -118,8 +126,9 @@ def segments(b: np.ndarray, length: int, q: int, wanted: np.ndarray) -> tuple[np
         if not len(todo):
             break
     cut = np.flatnonzero((np.diff(place) != 0) | (np.diff(own) != 1)) + 1
-    first, last = own[np.concatenate([[0], cut])], own[np.concatenate([cut, [len(own)]]) - 1]
-    return least[first] >> CUT, first, last
+    begin = np.concatenate([[0], cut])
+    first, last = own[begin], own[np.concatenate([cut, [len(own)]]) - 1]
+    return least[first] >> CUT, first, last, place[begin]
 
 
 def _packed(h: np.ndarray) -> bytes:
@@ -138,174 +147,305 @@ def _bytes(text) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8", "replace"), np.uint8) if isinstance(text, str) else np.empty(0, np.uint8)
 
 
+def _blocks(h: np.ndarray, d: np.ndarray, ids: np.ndarray, shards: int) -> list[tuple[int, bytes, bytes, bytes]]:
+    """(shard, hashes, doc, ids) of a block's anchors h, each once for a document d: packed
+    hashes in order, the index of each one's document, and the identifiers of these. Shard -1
+    has the anchors that two documents of the block hold; their extremes go on to others too."""
+    own = ids[d]
+    order = np.lexsort((own, h))
+    h, d, own = h[order], d[order], own[order]
+    start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    last = np.append(start[1:], len(h)) - 1
+    several = own[start] < own[last]
+    known = np.repeat(several, last - start + 1)
+    on = np.unique(np.concatenate([start, last[several]]))
+
+    def packed(shard: int, pick: np.ndarray) -> tuple[int, bytes, bytes, bytes]:
+        docs, index = np.unique(d[pick], return_inverse=True)
+        return shard, _packed(h[pick]), index.astype(np.uint16).tobytes(), ids[docs].tobytes()
+
+    cut = np.searchsorted(h[on], np.arange(shards + 1, dtype=np.float64) * (2**40 / shards))
+    rows = [packed(s, on[a:b]) for s, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
+    return rows + ([packed(-1, np.flatnonzero(known))] if known.any() else [])
+
+
 def _anchor_rows(docs: DataFrame, length: int, q: int, shards: int) -> DataFrame:
-    """(shard, hashes, doc, ids): packed anchors of many documents: hashes in order, the
-    index of each one's document, and the documents' ids."""
+    """The rows of _blocks for all of docs (id, t)."""
+    import pyarrow as pa
+
+    names = ("shard", "hashes", "doc", "ids")
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
 
     def run(batches):
-        for pdf in batches:
-            hs, ix, ids, held = [], [], [], 0
-
-            def flush():
-                h, d = np.concatenate(hs), np.concatenate(ix)
-                order = np.argsort(h)
-                h, d = h[order], d[order]
-                # the shard is the hash's range
-                cut = np.searchsorted(h, np.arange(shards + 1, dtype=np.float64) * (2**40 / shards))
-                names = np.array(ids, np.int64).tobytes()
-                rows = [(s, _packed(h[a:b]), d[a:b].tobytes(), names) for s, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
-                return pd.DataFrame(rows, columns=["shard", "hashes", "doc", "ids"])
-
-            for i, t in zip(pdf["id"], pdf["t"]):
+        hs, ix, ids, held = [], [], [], 0
+
+        def flush():
+            rows = _blocks(np.concatenate(hs), np.concatenate(ix), np.array(ids, np.int64), shards)
+            return pa.RecordBatch.from_pydict({n: pa.array(c, k) for n, k, c in zip(names, kinds, zip(*rows))})
+
+        for batch in batches:
+            for i, t in zip(batch.column("id").to_pylist(), batch.column("t").to_pylist()):
                 b = _bytes(t)
                 if len(b) < length:
                     continue
                 own = np.unique(np.concatenate([anchor_hashes(b[a : a + CHUNK + length - 1], length, q) for a in range(0, len(b) - length + 1, CHUNK)]))
                 hs.append(own)
-                ix.append(np.full(len(own), len(ids), np.uint16))
+                ix.append(np.full(len(own), len(ids), np.int64))
                 ids.append(i)
                 held += len(own)
-                if held > 1_000_000 or len(ids) == 60_000:
+                if held > BLOCK or len(ids) == 60_000:
                     yield flush()
                     hs, ix, ids, held = [], [], [], 0
-            if held:
-                yield flush()
+        if held:
+            yield flush()
 
-    return docs.mapInPandas(run, "shard int, hashes binary, doc binary, ids binary")
+    return docs.select("id", "t").mapInArrow(run, "shard int, hashes binary, doc binary, ids binary")
 
 
-def _shared(packed: DataFrame) -> DataFrame:
-    """(id, h): anchors that several documents hold, for each of the documents."""
+def _entries(batch) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, identifiers) of packed rows."""
+    h = [_unpacked(x) for x in batch.column("hashes").to_pylist()]
+    own = [np.frombuffer(i, np.int64)[np.frombuffer(x, np.uint16)] for x, i in zip(batch.column("doc").to_pylist(), batch.column("ids").to_pylist())]
+    return np.concatenate([np.empty(0, np.uint64), *h]), np.concatenate([np.empty(0, np.int64), *own])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        h = np.concatenate([_unpacked(x) for x in pdf["hashes"]])
-        d = np.concatenate([np.frombuffer(i, np.int64)[np.frombuffer(x, np.uint16)] for x, i in zip(pdf["doc"], pdf["ids"])])
-        order = np.argsort(h, kind="stable")
-        h, d = h[order], d[order]
-        same = h[1:] == h[:-1]
-        keep = np.zeros(len(h), bool)
-        keep[1:] |= same
-        keep[:-1] |= same
-        return pd.DataFrame({"id": d[keep], "h": h[keep].view(np.int64)})
 
-    return packed.groupBy("shard").applyInPandas(run, "id long, h long")
+def _shared(packed: DataFrame, shards: int) -> DataFrame:
+    """(id, h): anchors that several documents hold, for each of the documents."""
+    import pyarrow as pa
+
+    def out(h, own):
+        for a in range(0, len(h), ROWS):
+            yield pa.RecordBatch.from_pydict({"id": own[a : a + ROWS], "h": h[a : a + ROWS].view(np.int64)})
+
+    def rows(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield _entries(batch.slice(i, 1))
+
+    def known(batches):
+        for h, own in rows(batches):
+            yield from out(h, own)
+
+    def met(batches):
+        found = list(rows(batches))
+        if found:
+            h, own = (np.concatenate(x) for x in zip(*found))
+            del found
+            order = np.lexsort((own, h))
+            h, own = h[order], own[order]
+            start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
+            size = np.diff(np.append(start, len(h)))
+            on = np.repeat(own[start] < own[start + size - 1], size)
+            yield from out(h[on], own[on])
+
+    kind = "id long, h long"
+    dealt = packed.where("shard >= 0").repartitionById(shards, F.col("shard"))
+    return dealt.mapInArrow(met, kind).union(packed.where("shard < 0").mapInArrow(known, kind))
 
 
 # --- 2: segments -----------------------------------------------------------------
 
 
 def _segments(docs: DataFrame, length: int, q: int) -> DataFrame:
-    """(id, x, pos, h, seg) of the occurrences of shared anchors, from (id, x, t, hs)."""
+    """(id, x, pos, h, at, seg) of the occurrences of shared anchors, from (id, x, t, hs); at:
+    the anchor's place in the segment."""
+    import pyarrow as pa
 
     def run(batches):
-        for pdf in batches:
-            ids, keys, pos, hashes, segs = [], [], [], [], []
-            for i, x, t, hs in zip(pdf["id"], pdf["x"], pdf["t"], pdf["hs"]):
+        names, kinds = ("id", "x", "pos", "h", "at"), (*[pa.int64()] * 4, pa.int32())
+        for batch in batches:
+            held, segs = [[] for _ in names], []
+            column = batch.column("hs")
+            places, hashes = column.offsets.to_numpy(), column.values.to_numpy().view(np.uint64)
+            for i, x, t, lo, hi in zip(batch.column("id").to_pylist(), batch.column("x").to_pylist(), batch.column("t").to_pylist(), places[:-1], places[1:]):
                 b = _bytes(t)
-                wanted = np.unique(np.asarray(hs, np.int64).view(np.uint64))
+                wanted = np.unique(hashes[lo:hi])
                 for a in range(0, max(0, len(b) - length + 1), CHUNK):
                     part = b[a : a + CHUNK + length - 1]
                     raw = part.tobytes()
-                    for h, first, last in zip(*(x.tolist() for x in segments(part, length, q, wanted))):
-                        ids.append(i)
-                        keys.append(x)
-                        pos.append(a + first)
-                        hashes.append(h)
-                        segs.append(raw[first : last + length])
-            yield pd.DataFrame({"id": np.array(ids, np.int64), "x": np.array(keys, np.int64), "pos": np.array(pos, np.int64), "h": np.array(hashes, np.int64), "seg": segs})
-
-    return docs.mapInPandas(run, "id long, x long, pos long, h long, seg binary")
+                    h, first, last, at = segments(part, length, q, wanted)
+                    for own, value in zip(held, (np.full(len(h), i), np.full(len(h), x), a + first, h.view(np.int64), at - first)):
+                        own.append(value)
+                    segs += [raw[p:e] for p, e in zip(first.tolist(), (last + length).tolist())]
+            if segs:
+                columns = {n: pa.array(np.concatenate(v), k, safe=False) for n, v, k in zip(names, held, kinds)}
+                yield pa.RecordBatch.from_pydict(columns | {"seg": pa.array(segs, pa.binary())})
+
+    return docs.select("id", "x", "t", "hs").mapInArrow(run, "id long, x long, pos long, h long, at int, seg binary")
+
+
+def spread(segs: DataFrame, length: int, q: int, hot: int = HOT) -> DataFrame:
+    """(h, k, off, key, seg, least, most) from (h, k, at, seg, least, most): what is sorted
+    together has one key. Segments of hot anchors become two, of the windows with at least
+    BESIDE bytes after the anchor and of the others, which have as many before it."""
+    count = segs.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("h", F.lit(True).alias("hot"))
+    both = segs.join(count, "h", "left")
+    n, at = F.octet_length("seg"), F.col("at")
+    sub = lambda lo, hi: F.substring("seg", (lo + 1).cast("int"), (hi - lo).cast("int"))
+    # windows that start at `cut` or after it have at most length - q - BESIDE bytes before the anchor
+    cut = F.greatest(F.lit(0), at - (length - q - BESIDE))
+    key = lambda side, x: F.xxhash64("h", F.lit(side), x)
+    whole = F.struct(F.lit(0).alias("off"), F.col("h").alias("key"), F.col("seg").alias("seg"))
+    after = F.struct(cut.cast("int").alias("off"), key(1, sub(at + q, at + q + BESIDE)).alias("key"), sub(cut, n).alias("seg"))
+    before = F.struct(F.lit(0).alias("off"), key(2, sub(at - BESIDE, at)).alias("key"), sub(F.lit(0), F.least(n, cut - 1 + length)).alias("seg"))
+    parts = F.when(F.col("hot").isNull(), F.array(whole)).otherwise(F.filter(F.array(F.when(n - cut >= length, after), F.when(cut > 0, before)), lambda x: x.isNotNull()))
+    out = both.select("h", "k", "least", "most", F.explode(parts).alias("p"))
+    return out.select("h", "k", F.col("p.off").alias("off"), F.col("p.key").alias("key"), F.col("p.seg").alias("seg"), "least", "most")
 
 
 # --- 3: external induced sorting ---------------------------------------------------
 
 
-class DiskQueue:
-    """Suffixes with common prefix values, served by (first byte, order of arrival).
+def scratch() -> str | None:
+    """Where a task may spill: the folders that Spark names for that."""
+    return (os.environ.get("SPARK_LOCAL_DIRS") or "").split(",")[0] or None
+
+
+def room(folder: str, name: str, n: int, memory: int, dtype=np.int64) -> np.ndarray:
+    """An array of n values: in memory up to BASE * memory of them, else a file mapped into it."""
+    if n <= BASE * memory:
+        return np.zeros(n, dtype)
+    return np.asarray(np.memmap(os.path.join(folder, name), dtype, "w+", shape=(n,)))
+
+
+class Rows:
+    """Rows of int64 values, written block by block and then read by place: held up to
+    `memory` of them, in a file beyond."""
+
+    def __init__(self, path: str, width: int, memory: int):
+        self.path, self.width, self.memory, self.n = path, width, memory, 0
+        self.held: list[np.ndarray] = []
+        self.out = None
+
+    def add(self, *columns: np.ndarray) -> None:
+        self.put(np.stack(columns, axis=1).astype(np.int64, copy=False))
+
+    def put(self, part: np.ndarray) -> None:
+        self.n += len(part)
+        if self.out is None and self.n <= self.memory:
+            self.held.append(part)
+            return
+        if self.out is None:
+            self.out = open(self.path, "wb")
+            for x in self.held:
+                self.out.write(np.ascontiguousarray(x).data)
+            self.held = []
+        self.out.write(np.ascontiguousarray(part).data)
+
+    def done(self) -> Rows:
+        if self.out is not None:
+            self.out.close()
+            self.at = np.asarray(np.memmap(self.path, np.int64, "r", shape=(self.n, self.width)))
+        else:
+            self.at = np.concatenate(self.held) if self.held else np.empty((0, self.width), np.int64)
+            self.held = []
+        return self
+
+    def blocks(self, size: int):
+        for a in range(0, self.n, size):
+            yield np.array(self.at[a : a + size])
+
+    def drop(self) -> None:
+        self.at = None
+        if self.out is not None:
+            os.remove(self.path)
+
+
+class Tape:
+    """Rows (letter, suffix, common), those of a letter together, taken from either end."""
+
+    def __init__(self, rows: Rows, backward: bool):
+        self.rows, self.backward, self.lo, self.hi = rows, backward, 0, rows.n
+
+    def letter(self) -> int | None:
+        return None if self.lo >= self.hi else int(self.rows.at[self.hi - 1 if self.backward else self.lo, 0])
+
+    def extent(self, letter: int, most: int) -> int:
+        """How many of the next rows have the letter, up to `most`."""
+        at, n = self.rows.at, min(most, self.hi - self.lo)
+        here = lambda k: at[self.hi - 1 - k if self.backward else self.lo + k, 0] == letter
+        if not n or not here(0):
+            return 0
+        low, step = 0, 1
+        while low + step < n and here(low + step):
+            low, step = low + step, 2 * step
+        high = min(n, low + step)  # low has the letter, high has not or is the end
+        while high - low > 1:
+            mid = (low + high) // 2
+            low, high = (mid, high) if here(mid) else (low, mid)
+        return low + 1
+
+    def take(self, letter: int, most: int) -> np.ndarray:
+        """Up to `most` of the next rows, if they have the letter, in reading order. Backward, a
+        row's common value is with the row read before it, and with none for a letter's first."""
+        n = self.extent(letter, most)
+        if not n:
+            return np.empty((0, 3), np.int64)
+        if not self.backward:
+            part = np.array(self.rows.at[self.lo : self.lo + n])
+            self.lo += n
+            return part
+        part = self.rows.at[self.hi - n : self.hi][::-1].copy()
+        above = self.rows.at[self.hi] if self.hi < self.rows.n else None
+        part[1:, 2] = part[:-1, 2].copy()
+        part[0, 2] = above[2] if above is not None and above[0] == letter else 0
+        self.hi -= n
+        return part
 
-    Arrivals of one byte are a run; runs beyond `memory` entries in all go to one file
-    each. Bytes are served upwards or downwards once each, so the order of arrival within a
-    byte is the order of rank and no comparison is needed."""
 
-    def __init__(self, folder: str, name: str, memory: int = MEMORY):
-        self.folder, self.name, self.memory = folder, name, memory
-        self.runs: dict[int, list[np.ndarray]] = {}
-        self.held = 0
+class DiskQueue:
+    """An external priority queue of (letter, suffix, common), ordered by (letter, arrival).
+
+    Arrivals are held by letter up to `memory` of them, then written as a run in the order of
+    letters. A letter's rows come from the runs, oldest first, and then from what is held,
+    so that the order of arrival, which is the order of rank, needs no comparison."""
 
-    def _file(self, byte: int) -> str:
-        return os.path.join(self.folder, f"{self.name}-{byte}")
+    def __init__(self, folder: str, name: str, backward: bool, memory: int):
+        self.folder, self.name, self.sign, self.memory = folder, name, -1 if backward else 1, memory
+        self.runs: list[tuple[Rows, Tape]] = []
+        self.own: dict[int, list[np.ndarray]] = {}
+        self.held, self.made = 0, 0
 
-    def push(self, byte: int, suffix: np.ndarray, common: np.ndarray) -> None:
-        self.runs.setdefault(byte, []).append(np.stack([suffix, common]))
+    def push(self, letter: int, suffix: np.ndarray, common: np.ndarray) -> None:
+        self.own.setdefault(letter, []).append(np.stack([np.full(len(suffix), self.sign * letter), suffix, common], axis=1))
         self.held += len(suffix)
         if self.held > self.memory:
-            for b, parts in self.runs.items():
-                with open(self._file(b), "ab") as f:
-                    for p in parts:
-                        f.write(p.T.tobytes())
-            self.runs, self.held = {}, 0
-
-    def pop(self, byte: int) -> tuple[np.ndarray, np.ndarray]:
-        """All arrivals of a byte so far."""
-        parts = []
-        if os.path.exists(self._file(byte)):
-            parts.append(np.fromfile(self._file(byte), np.int64).reshape(-1, 2).T)
-            os.remove(self._file(byte))
-        own = self.runs.pop(byte, [])
-        self.held -= sum(p.shape[1] for p in own)
-        parts += own
+            rows = Rows(os.path.join(self.folder, f"{self.name}-{self.made}"), 3, 0)
+            for c in sorted(self.own, key=lambda c: self.sign * c):
+                for part in self.own[c]:
+                    rows.put(part)
+            self.runs.append((rows.done(), Tape(rows, False)))
+            self.own, self.held, self.made = {}, 0, self.made + 1
+
+    def letter(self) -> int | None:
+        """The next letter in order."""
+        heads = [x for _, tape in self.runs if (x := tape.letter()) is not None] + [self.sign * c for c in self.own]
+        return self.sign * min(heads) if heads else None
+
+    def take(self, letter: int, most: int) -> np.ndarray:
+        for rows, tape in self.runs:
+            part = tape.take(self.sign * letter, most)
+            if len(part):
+                if tape.letter() is None:
+                    self.runs.remove((rows, tape))
+                    rows.drop()
+                part[:, 0] = letter
+                return part
+        parts = self.own.get(letter)
         if not parts:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        both = np.concatenate(parts, axis=1)
-        return both[0], both[1]
-
-
-def _common(t: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
-    """Common prefix of pairs of suffixes, up to `most`."""
-    out = np.zeros(len(a), np.int64)
-    on = np.arange(len(a))
-    for k in range(most):
-        on = on[t[a[on] + k] == t[b[on] + k]]
-        if not len(on):
-            break
-        out[on] += 1
-    return out
-
-
-def _starred(t: np.ndarray, star: np.ndarray, depth: int, folder: str, run: int) -> np.ndarray:
-    """Starred suffixes by their first `depth` letters: sorted runs on disk, merged."""
-    def by_letters(s: np.ndarray) -> np.ndarray:
-        """Sorted by seven letters at a time; only what is still equal goes on."""
-        key = lambda x, k: sum(t[x + k + j].astype(np.int64) << (9 * (6 - j)) for j in range(7))
-        v = key(s, 0)
-        order = np.argsort(v, kind="stable")
-        s, v = s[order], v[order]
-        group = np.concatenate([[0], np.cumsum(v[1:] != v[:-1])]) if len(s) else v
-        for k in range(7, depth, 7):
-            same = group[1:] == group[:-1]
-            tied = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same])) if len(s) else np.empty(0, np.int64)
-            if not len(tied):
-                break
-            v = key(s[tied], k)
-            order = np.lexsort((v, group[tied]))
-            s[tied], v = s[tied][order], v[order]
-            new = np.zeros(len(s), bool)
-            new[tied[1:]] = (v[1:] != v[:-1]) & (group[tied[1:]] == group[tied[:-1]])
-            group = group + np.cumsum(new)
-        return s
-
-    if len(star) <= run:
-        return by_letters(star)
-    # split by the first letters: each part is a range of keys, parts are in order
-    first = (t[star].astype(np.int64) << 16) | t[star + 1]
-    names = []
-    for n, lo in enumerate(pieces := np.unique(np.quantile(first, np.linspace(0, 1, 2 + len(star) // run), method="lower"))):
-        hi = pieces[n + 1] if n + 1 < len(pieces) else first.max() + 1
-        part = star[(first >= lo) & (first < hi)]
-        name = os.path.join(folder, f"star-{n}")
-        by_letters(part).tofile(name)
-        names.append(name)
-    return np.concatenate([np.fromfile(n, np.int64) for n in names])
+            return np.empty((0, 3), np.int64)
+        n, k = 0, 0
+        while k < len(parts) and (not k or n + len(parts[k]) <= most):
+            n += len(parts[k])
+            k += 1
+        out = np.concatenate(parts[:k])
+        if k < len(parts):
+            self.own[letter] = parts[k:]
+        else:
+            del self.own[letter]
+        self.held -= n
+        out[:, 0] = letter
+        return out
 
 
 def _range_min(common: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -316,145 +456,361 @@ def _range_min(common: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nd
     return np.minimum.reduceat(padded, edges)[0::2]
 
 
+class External:
+    """The order of the suffixes of a text on disk, to `depth` letters.
+
+    The text is a file of letters, where zeros separate parts and at least depth + 8 of
+    them end it; suffixes that start with a zero are left out. It is kept as
+    2 * letter + type, type 1 for S-suffixes (smaller than the next) and for zeros."""
+
+    def __init__(self, folder: str, letters: np.ndarray, depth: int, memory: int, level: int = 0):
+        self.folder, self.depth, self.memory, self.level, self.n = folder, depth, memory, level, len(letters)
+        # common prefixes are carried where they are asked for; in the string of names the order is enough
+        self.carry = level == 0
+        self.most = 0
+        self.t = room(folder, f"text-{level}", self.n, memory, np.int64 if level else np.uint16)
+        after, kind = 0, 1
+        for a in range((self.n - 1) // memory * memory, -1, -memory):  # types come from the right
+            x = np.append(np.array(letters[a : a + memory], np.int64), after)
+            self.most = max(self.most, int(x.max()))
+            differ = np.flatnonzero(x[:-1] != x[1:])
+            up = np.full(len(x) - 1, bool(kind))
+            if len(differ):
+                up[: differ[-1] + 1] = np.repeat(x[differ] < x[differ + 1], np.diff(np.concatenate([[-1], differ])))
+            up |= x[:-1] == 0
+            self.t[a : a + memory] = 2 * x[:-1] + up
+            after, kind = int(x[0]), int(up[0])
+
+    def name(self, what: str) -> str:
+        self.files = getattr(self, "files", 0) + 1
+        return f"{what}-{self.level}-{self.files}"
+
+    def rows(self, what: str, width: int) -> Rows:
+        return Rows(os.path.join(self.folder, self.name(what)), width, 2 * self.memory)
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Common prefix of pairs of suffixes, up to the depth."""
+        out, on = np.zeros(len(a), np.int64), np.arange(len(a))
+        for k in range(self.depth):
+            on = on[self.t[a[on] + k] >> 1 == self.t[b[on] + k] >> 1]
+            if not len(on):
+                break
+            out[on] += 1
+        return out
+
+    # starred suffixes: S after L
+
+    def stars(self) -> Rows:
+        """(place, place where its substring ends: the next starred suffix or zero), in order."""
+        rows, open_, before = self.rows("stars", 2), np.empty(0, np.int64), 1
+        for a in range(0, self.n, self.memory):
+            x = np.array(self.t[a : a + self.memory], np.int64)
+            s = (x & 1).astype(bool)
+            star = s & ~np.concatenate([[bool(before & 1)], s[:-1]]) & (x > 1)
+            before = int(x[-1])
+            event = np.flatnonzero(star | (x <= 1)) + a
+            mine = np.concatenate([np.ones(len(open_), bool), star[event - a]])
+            event = np.concatenate([open_, event])
+            done = np.flatnonzero(mine[:-1])
+            rows.add(event[done], event[done + 1])
+            open_ = event[-1:] if len(event) and mine[-1] else np.empty(0, np.int64)
+        return rows.done()
+
+    def keys(self, part: np.ndarray, k: int) -> np.ndarray:
+        """The letters and types of substrings from their k-th on, as many as a number holds."""
+        bits = max(2, (2 * self.most + 1).bit_length())
+        out = np.zeros(len(part), np.int64)
+        for j in range(k, k + 62 // bits):
+            at = part[:, 0] + j
+            inside = (at <= part[:, 1]) & (j < self.depth)
+            out = (out << bits) | np.where(inside, self.t[np.minimum(at, self.n - 1)], 0)
+        return out
+
+    def step(self) -> int:
+        return 62 // max(2, (2 * self.most + 1).bit_length())
+
+    def sort_stars(self, rows: Rows, k: int, out) -> None:
+        """Give out(places, new) in the order of substrings, where new marks the first of equal ones."""
+        if rows.n <= self.memory:
+            if rows.n:
+                out(*self.sort_block(np.array(rows.at), k))
+            rows.drop()
+            return
+        if k >= self.depth:
+            for i, part in enumerate(rows.blocks(self.memory)):
+                new = np.zeros(len(part), bool)
+                new[:1] = not i
+                out(part[:, 0], new)
+            rows.drop()
+            return
+        every = max(1, rows.n // 4096)
+        sample = np.concatenate([self.keys(part[::every], k) for part in rows.blocks(self.memory)])
+        cuts = np.quantile(sample, np.linspace(0, 1, 2 + 2 * rows.n // self.memory)[1:-1], method="lower")
+        cuts = np.unique(np.concatenate([cuts, cuts + 1]))  # a frequent key is a part of its own
+        parts = [self.rows("part", 2) for _ in range(len(cuts) + 1)]
+        low, high = [None] * len(parts), [None] * len(parts)
+        for part in rows.blocks(self.memory):
+            key = self.keys(part, k)
+            to = np.searchsorted(cuts, key, side="right")
+            for i in np.unique(to).tolist():
+                on = to == i
+                parts[i].add(*part[on].T)
+                least, most = int(key[on].min()), int(key[on].max())
+                low[i] = least if low[i] is None else min(low[i], least)
+                high[i] = most if high[i] is None else max(high[i], most)
+        rows.drop()
+        for part, a, b in zip(parts, low, high):
+            self.sort_stars(part.done(), k + self.step() if a == b else k, out)
+
+    def sort_block(self, part: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        v = self.keys(part, k)
+        order = np.argsort(v, kind="stable")
+        part, v = part[order], v[order]
+        new = np.concatenate([[True], v[1:] != v[:-1]])
+        for k in range(k + self.step(), self.depth, self.step()):
+            tied = np.concatenate([~new[1:], [False]]) | ~new
+            # only ties whose substrings go on are looked at further
+            group = np.cumsum(new)
+            tied = np.flatnonzero(tied)
+            if not len(tied) or not (part[tied, 0] + k <= part[tied, 1]).any():
+                break
+            v = self.keys(part[tied], k)
+            order = np.lexsort((v, group[tied]))
+            part[tied], v = part[tied][order], v[order]
+            new[tied[1:]] |= (v[1:] != v[:-1]) & (group[tied[1:]] == group[tied[:-1]])
+        return part[:, 0], new
+
+    def seeds(self) -> Rows:
+        """(letter, place, common) of the starred suffixes in order."""
+        rows = self.stars()
+        place = self.rows("place", 2)
+        for part in rows.blocks(self.memory):  # for each name and the zero after a part's last one
+            ends = self.t[part[:, 1]] <= 1
+            after = np.flatnonzero(ends) + 1
+            place.add(np.insert(part[:, 0], after, -1), np.zeros(len(part) + len(after), np.int64))
+        place.done()
+        n, count = rows.n, 0
+        stars = room(self.folder, self.name("at"), n, self.memory)
+        at = 0
+        for part in rows.blocks(self.memory):
+            stars[at : at + len(part)] = part[:, 0]
+            at += len(part)
+        names = room(self.folder, self.name("names"), n, self.memory)
+        order = self.rows("order", 1)
+
+        def out(places, new):
+            nonlocal count
+            names[np.searchsorted(stars, places)] = count + np.cumsum(new)
+            count += int(new.sum())
+            order.add(places)
+
+        self.sort_stars(rows, 0, out)
+        order.done()
+        if count < n:  # equal substrings: what follows them decides
+            word = room(self.folder, self.name("word"), place.n + self.depth + 8, self.memory)
+            word[place.n :] = 0
+            at = done = 0
+            for part in place.blocks(self.memory):
+                on = part[:, 0] >= 0
+                k = int(on.sum())
+                own = np.zeros(len(part), np.int64)
+                own[on] = names[done : done + k]
+                word[at : at + len(part)] = own
+                at, done = at + len(part), done + k
+            order.drop()
+            order = self.rows("order", 1)
+            # each name stands for two letters at least
+            for part in sorted_names(self.folder, word, self.depth // 2 + 1, self.memory, self.level + 1):
+                order.add(place.at[part, 0])
+            order.done()
+        seeds, last = self.rows("seeds", 3), np.empty(0, np.int64)
+        for part in order.blocks(self.memory):
+            s, value = part[:, 0], np.zeros(len(part), np.int64)
+            if self.carry:
+                both = np.concatenate([last, s])
+                value[len(s) - len(both) + 1 :] = self.common(both[1:], both[:-1])
+                last = s[-1:]
+            seeds.add(self.t[s] >> 1, s, value)
+        order.drop()
+        place.drop()
+        return seeds.done()
+
+    # induction
+
+    def induce(self, backward: bool, seeds: Rows, zeros: bool) -> Rows:
+        """One scan: what precedes the suffixes that are read, of type S if backward, else L.
+        A letter's induced suffixes are read before its seeds, the suffixes of the other type."""
+        queue, tape = DiskQueue(self.folder, f"queue-{self.level}-{int(backward)}", backward, 2 * self.memory), Tape(seeds, backward)
+        out = self.rows("induced", 3)
+        least: dict[int, int] = {}  # smallest common value since a letter's last arrival
+
+        def read(part: np.ndarray) -> None:
+            comm = part[:, 2]
+            prev = part[:, 1] - 1
+            x = self.t[np.maximum(prev, 0)]
+            x[prev < 0] = 1
+            send = np.flatnonzero((x > 1) & ((x & 1) == backward))
+            here = {}
+            if len(send):
+                letters = x[send] >> 1  # short numbers at the first level, which sort quickly
+                by = np.argsort(letters, kind="stable")
+                send, letters = send[by], letters[by]
+                head = np.minimum.accumulate(comm) if self.carry else comm
+                for own in np.split(send, np.flatnonzero(np.diff(letters)) + 1):
+                    c = int(x[own[0]]) >> 1
+                    new = np.zeros(len(own), np.int64)
+                    if self.carry:
+                        new[0] = min(least[c], int(head[own[0]])) + 1 if c in least else 0
+                        if len(own) > 1:
+                            new[1:] = _range_min(comm, own[:-1], own[1:]) + 1
+                        here[c] = int(own[-1])
+                    queue.push(c, prev[own], np.minimum(new, self.depth))
+            if self.carry:
+                low = int(comm.min())
+                for c in least:
+                    least[c] = min(least[c], low)
+                for c, at in here.items():
+                    least[c] = int(comm[at + 1 :].min()) if at + 1 < len(comm) else self.depth
+
+        if zeros:  # zeros end every part: what precedes one starts the scan
+            for a in range(0, self.n, self.memory):
+                z = np.flatnonzero(self.t[a : a + self.memory] <= 1) + a
+                if len(z):
+                    read(np.stack([np.zeros_like(z), z, np.zeros_like(z)], axis=1))
+        while True:
+            heads = [c for c in (queue.letter(), tape.letter()) if c is not None]
+            if not heads:
+                break
+            c, last = max(heads) if backward else min(heads), None
+            while len(part := queue.take(c, self.memory)):  # what these induce under the same letter comes after them
+                out.put(part)
+                last = part[-1:, 1]
+                read(part)
+            first = True
+            while len(part := tape.take(c, self.memory)):
+                if first:  # the seam between the letter's two types, or between letters
+                    part[0, 2] = self.common(part[:1, 1], last)[0] if self.carry and last is not None else 0
+                    first = False
+                read(part)
+        return out.done()
+
+    def order(self):
+        """Blocks (suffixes, common), where common[i] is with the suffix before in all."""
+        seeds = self.seeds()
+        l_of = self.induce(False, seeds, True)
+        seeds.drop()
+        s_of = self.induce(True, l_of, False)
+        low, high = Tape(l_of, False), Tape(s_of, True)
+        last = np.empty(0, np.int64)
+        while True:
+            heads = [c for c in (low.letter(), high.letter()) if c is not None]
+            if not heads:
+                break
+            c = min(heads)
+            for tape in (low, high):
+                first = True
+                while len(part := tape.take(c, self.memory)):
+                    if first and self.carry:
+                        part[0, 2] = self.common(part[:1, 1], last)[0] if len(last) else 0
+                    first, last = False, part[-1:, 1]
+                    yield part[:, 1], part[:, 2]
+        l_of.drop()
+        s_of.drop()
+
+
+def sorted_names(folder: str, word: np.ndarray, depth: int, memory: int, level: int):
+    """Blocks of the places of a string of names in the order of its suffixes, without its zeros."""
+    if len(word) > BASE * memory:
+        yield from (s for s, _ in External(folder, word, depth, memory, level).order())
+        return
+    rank, width = np.array(word), 1
+    while width < depth:  # by doubling
+        far = np.concatenate([rank[width:], np.zeros(width, np.int64)])
+        key = rank * (int(rank.max()) + 1) + far
+        new = np.unique(key, return_inverse=True)[1]
+        rank, width = np.where(rank > 0, new + 1, 0), 2 * width
+    order = np.argsort(rank, kind="stable")
+    yield order[np.searchsorted(rank[order], 0, side="right") :]
+
+
 def suffix_array(t: np.ndarray, depth: int, memory: int = MEMORY) -> tuple[np.ndarray, np.ndarray]:
     """(suffixes, common) of a text of letters 1 to 256 that ends in depth + 8 zeros; zeros
     separate its parts. Suffixes that start with a zero are left out. Order and common
     prefixes are exact up to `depth` letters, common prefixes are cut there."""
-    n = len(t)
-    # types: S where smaller than the next suffix; runs of equal letters take what follows them
-    up = np.zeros(n, bool)
-    differ = np.flatnonzero(t[:-1] != t[1:])
-    if not len(differ):
+    with tempfile.TemporaryDirectory(prefix="edgeloom-", dir=scratch()) as folder:
+        found = list(External(folder, t, depth, memory).order())
+    if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    rise = t[differ] < t[differ + 1]
-    up[: differ[-1] + 1] = np.repeat(rise, np.diff(np.concatenate([[-1], differ])))
-    star = np.flatnonzero(up[1:] & ~up[:-1]) + 1
-    star = star[t[star] > 0]
-    with tempfile.TemporaryDirectory(prefix="edgeloom-") as folder:
-        star = _starred(t, star, depth, folder, memory)
-        common = np.zeros(len(star), np.int64)
-        if len(star):
-            common[1:] = _common(t, star[1:], star[:-1], depth)
-
-        def induce(order: range, descending: bool, seeds: dict) -> dict[int, list]:
-            """One scan. seeds: per letter (suffix, common) of the other type, read after what is induced."""
-            queue = DiskQueue(folder, "s" if descending else "l", memory)
-            least = np.full(257, depth, np.int64)  # smallest common value since a letter's last arrival
-            some = np.zeros(257, bool)
-            out: dict[int, list] = {}
-
-            def read(suffix: np.ndarray, comm: np.ndarray) -> None:
-                """Pass on the predecessors of suffixes in order; comm: with the one before each."""
-                prev = suffix - 1
-                ok = prev >= 0
-                letters = np.where(ok, t[np.maximum(prev, 0)], 0)
-                kind = up[np.maximum(prev, 0)] == descending
-                send = np.flatnonzero(ok & kind & (letters > 0))
-                here = {}
-                if len(send):
-                    by = np.argsort(letters[send], kind="stable")
-                    send = send[by]
-                    cuts = np.flatnonzero(np.diff(letters[send])) + 1
-                    for part in np.split(send, cuts):
-                        c = int(letters[part[0]])
-                        new = np.empty(len(part), np.int64)
-                        head = int(comm[: part[0] + 1].min()) if len(comm[: part[0] + 1]) else depth
-                        new[0] = min(int(least[c]), head) + 1 if some[c] else 0
-                        if len(part) > 1:
-                            new[1:] = _range_min(comm, part[:-1], part[1:]) + 1
-                        here[c] = int(part[-1])
-                        queue.push(c, prev[part], np.minimum(new, depth))
-                        some[c] = True
-                low = int(comm.min())
-                np.minimum(least, low, out=least)
-                for c, at in here.items():
-                    least[c] = int(comm[at + 1 :].min()) if at + 1 < len(comm) else depth
-
-            for c in order:
-                got = []
-                while True:  # what a letter's suffixes induce under the same letter comes after them
-                    suffix, comm = queue.pop(c)
-                    if not len(suffix):
-                        break
-                    got.append((suffix, comm))
-                    read(suffix, comm)
-                for suffix, comm in seeds.get(c, []):
-                    if got and c:  # the seam between the letter's two types
-                        comm = comm.copy()
-                        comm[0] = _common(t, suffix[:1], got[-1][0][-1:], depth)[0]
-                    read(suffix, comm)
-                out[c] = got
-            return out
-
-        # L: upwards; a letter's starred suffixes are read after its L-suffixes.
-        # Zeros end every part: what precedes one starts the scan.
-        letters = t[star] if len(star) else np.empty(0, t.dtype)
-        seeds: dict[int, list] = {}
-        for part in np.split(np.arange(len(star)), np.flatnonzero(np.diff(letters)) + 1) if len(star) else []:
-            if len(part):
-                comm = common[part].copy()
-                comm[0] = 0
-                seeds[int(letters[part[0]])] = [(star[part], comm)]
-        zeros = np.flatnonzero(t == 0)
-        seeds[0] = [(zeros, np.zeros(len(zeros), np.int64))]
-        l_of = induce(range(0, 257), False, seeds)
-
-        # S: downwards, from the L-suffixes; common values are with the one before in that order
-        def turned(parts: list) -> list:
-            if not parts:
-                return []
-            s = np.concatenate([p[0] for p in parts])
-            c = np.concatenate([p[1] for p in parts])
-            # ascending value k is between k - 1 and k; descending, the one before k is k + 1
-            return [(s[::-1], np.concatenate([[0], c[1:][::-1]]))]
-
-        s_of = induce(range(256, -1, -1), True, {c: turned(p) for c, p in l_of.items()})
-
-    sa, cp = [], []
-    for c in range(1, 257):
-        for s, v in l_of.get(c, []):
-            sa.append(s)
-            cp.append(v)
-        if s_of.get(c):
-            s = np.concatenate([p[0] for p in s_of[c]])
-            v = np.concatenate([p[1] for p in s_of[c]])
-            sa.append(s[::-1])
-            cp.append(np.concatenate([[-1], v[1:][::-1]]))  # -1: the seam between types
-    if not sa:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    order, values = np.concatenate(sa), np.concatenate(cp)
-    values[0] = 0
-    open_ = np.flatnonzero(values < 0)  # seams
-    values[open_] = _common(t, order[open_], order[open_ - 1], depth)
-    return order, values
-
-
-def smallest_documents(segs: list[bytes], docs: np.ndarray, length: int, memory: int = MEMORY) -> list[list[tuple[int, int, int]]]:
-    """For each segment the runs (first window, last window, smallest document) of its windows
-    whose string is also in another segment or document; docs: a segment's smallest document."""
-    sizes = np.array([len(s) for s in segs], np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
-    t = np.zeros(int((sizes + 1).sum()) + length + 8, np.uint16)
-    raw = np.frombuffer(b"\0".join(segs), np.uint8)
-    t[: len(raw)] = raw
-    t[: len(raw)] += 1
-    t[starts[1:] - 1] = 0
-    sa, cp = suffix_array(t, length, memory)
-    seg = np.searchsorted(starts, sa, side="right") - 1
-    whole = starts[seg] + sizes[seg] - sa >= length
-    group = np.cumsum(cp < length)
-    least = np.full(len(t), np.iinfo(np.int64).max, np.int64)
-    if len(sa):
-        low = np.minimum.reduceat(docs[seg], np.flatnonzero(np.concatenate([[True], np.diff(group) > 0])))
-        least[sa[whole]] = low[(group - group[0])[whole]]
-    out = []
-    for at, size in zip(starts.tolist(), sizes.tolist()):
-        own = least[at : at + size - length + 1]
-        cut = np.flatnonzero(np.diff(own)) + 1
-        first = np.concatenate([[0], cut])
-        last = np.concatenate([cut, [len(own)]]) - 1
-        out.append([(int(a), int(b), int(own[a])) for a, b in zip(first, last)])
-    return out
+    return np.concatenate([s for s, _ in found]), np.concatenate([c for _, c in found])
+
+
+def smallest_documents(segs, length: int, memory: int = MEMORY):
+    """For segments in blocks (columns of ints, the last a segment's smallest document, and the
+    list of their bytes): blocks (columns of the segments, first window, last window,
+    smallest document) of runs of windows with one smallest document, in order."""
+    with tempfile.TemporaryDirectory(prefix="edgeloom-", dir=scratch()) as folder:
+        info, n = None, 0
+        with open(os.path.join(folder, "letters"), "wb") as f:
+            for columns, raw in segs:
+                size = np.array([len(x) for x in raw], np.int64)
+                end = n + np.cumsum(size + 1)
+                info = info or Rows(os.path.join(folder, "info"), 2 + len(columns), 2 * memory)
+                info.add(end - size - 1, size, *columns)
+                x = np.frombuffer(b"\0".join(raw) + b"\0", np.uint8).astype(np.uint16) + 1
+                x[end - n - 1] = 0
+                f.write(x.tobytes())
+                n = int(end[-1]) if len(end) else n
+            f.write(bytes(2 * (length + 8)))
+        if info is None:
+            return
+        info.done()
+        n += length + 8
+        text = External(folder, np.memmap(os.path.join(folder, "letters"), np.uint16, "r", shape=(n,)), length, memory)
+        # a window's document, by its place; other places have none
+        none = np.iinfo(np.int64).max
+        docs_at = room(folder, "docs", n, memory)
+        docs_at[n - length - 8 :] = none
+        step = max(1, memory // 64)
+        for a in range(0, info.n, step):
+            part = np.array(info.at[a : a + step])
+            count = np.stack([part[:, 1] - length + 1, np.full(len(part), length)], axis=1).ravel()
+            docs_at[part[0, 0] : part[-1, 0] + part[-1, 1] + 1] = np.repeat(np.stack([part[:, -1], np.full(len(part), none)], axis=1).ravel(), count)
+        # windows by groups of equal ones, then each group's smallest document
+        group = room(folder, "group", n, memory)
+        low, count = Rows(os.path.join(folder, "low"), 1, 2 * memory), 0
+        held = none
+        for s, common in text.order():
+            new = common < length
+            if not count:
+                new[0] = True
+            group[s] = count + np.cumsum(new) - 1
+            docs = docs_at[s]
+            first = np.flatnonzero(new)
+            edges = first if len(first) and first[0] == 0 else np.concatenate([[0], first]).astype(np.int64)
+            least = np.minimum.reduceat(docs, edges)
+            if not new[0]:  # goes on with the group of the block before
+                held, least = min(held, int(least[0])), least[1:]
+            if len(least):
+                if count:
+                    low.add(np.array([held]))
+                low.add(least[:-1])
+                held = int(least[-1])
+            count += len(first)
+        if count:
+            low.add(np.array([held]))
+        low.done()
+        for a in range(0, info.n, step):
+            part = np.array(info.at[a : a + step])
+            at = int(part[0, 0])
+            value = low.at[group[at : int(part[-1, 0] + part[-1, 1])], 0] if low.n else np.empty(0, np.int64)
+            place = np.repeat(part[:, 0] - at, part[:, 1] - length + 1)
+            n_own = part[:, 1] - length + 1
+            seg = np.repeat(np.arange(len(part)), n_own)
+            inside = np.arange(len(seg)) - np.repeat(np.cumsum(n_own) - n_own, n_own)
+            value = value[place + inside]
+            begin = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (seg[1:] != seg[:-1])]))
+            stop = np.append(begin[1:], len(seg)) - 1
+            yield part[seg[begin], 2:], inside[begin], inside[stop], value[begin]
 
 
 # --- 4: spans -----------------------------------------------------------------------
@@ -463,22 +819,19 @@ def smallest_documents(segs: list[bytes], docs: np.ndarray, length: int, memory:
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(id, x, t): identifier, a key of the text, and the text; null is empty."""
     t = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NULL_ID)).alias("id"), F.xxhash64(t).alias("x"), t.alias("t"))
+    own = F.col(doc_id).cast("long")
+    return docs.select(own.alias("doc_id"), F.coalesce(own, F.lit(NULL_ID)).alias("id"), F.xxhash64(t).alias("x"), t.alias("t"))
 
 
 def _counted(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
-def _settle(spark) -> None:
-    """Let Spark remove the shuffle files of DataFrames that nothing refers to any more."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
-def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, q: int = Q, per_shard: int = PER_SHARD) -> DataFrame:
+def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, q: int = Q, per_shard: int = PER_SHARD, hot: int = HOT) -> DataFrame:
     """(id, x, spans): for documents with bytes to remove, by identifier and text key, their
     [start, end) byte spans, in order and apart."""
+    import pyarrow as pa
+
     spark = docs.sparkSession
     ship(spark)
     every = _keyed(docs, doc_id, text).where(F.octet_length("t") >= length)
@@ -489,35 +842,38 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = every.join(_counted(copies.select("id", "x"), BROADCAST_IDS), ["id", "x"], "left_anti")
     size = rows.agg(F.sum(F.octet_length("t")).alias("n")).first()["n"] or 0
     shards = 1 + int(2 * size / (length - q + 2) / per_shard)
-    shared = written(_shared(_anchor_rows(rows, length, q, shards)), "shared")
-    _settle(spark)
+    anchors = written(_anchor_rows(rows, length, q, shards), "anchors")
+    with batch_rows(spark, 8):  # a row holds many anchors
+        shared = written(_shared(anchors, shards), "shared")
+    drop(anchors)
     held = shared.groupBy("id").agg(F.collect_set("h").alias("hs"))  # of one document's anchors
     some = rows.join(_counted(shared.select("id").distinct(), BROADCAST_IDS), "id", "left_semi")
     occ = written(_segments(some.join(held, "id"), length, q).withColumn("k", F.xxhash64("seg")), "occurrences")
     drop(shared)
-    _settle(spark)
-    distinct = written(occ.groupBy("h", "k", "seg").agg(F.min("id").alias("least"), F.max("id").alias("most")), "distinct")
-    parts = 1 + distinct.count() // 200_000
-    _settle(spark)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = smallest_documents(pdf["seg"].tolist(), pdf["least"].to_numpy(), length)
-        # runs whose smallest document is that of every occurrence remove nothing
-        rows = [(h, k, *r) for h, k, most, own in zip(pdf["h"], pdf["k"], pdf["most"], found) for r in own if r[2] < most]
-        return pd.DataFrame(rows, columns=["h", "k", "a", "b", "least"])
-
-    sharded = distinct.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(parts)).cast("int"))
-    runs = written(sharded.groupBy("shard").applyInPandas(run, "h long, k long, a long, b long, least long"), "runs")
+    distinct = written(occ.groupBy("h", "k", "seg").agg(F.min("at").alias("at"), F.min("id").alias("least"), F.max("id").alias("most")), "distinct")
+    sorting = spread(distinct, length, q, hot)
+    size = distinct.agg(F.sum(F.octet_length("seg")).alias("n")).first()["n"] or 0
+    parts = 1 + int(size // SEGMENT_BYTES)
+
+    def run(batches):
+        names = ("h", "k", "off", "most", "least")
+        blocks = (([batch.column(c).to_numpy() for c in names], batch.column("seg").to_pylist()) for batch in batches if batch.num_rows)
+        for columns, a, b, least in smallest_documents(blocks, length):
+            on = least < columns[:, 3]  # else it removes nothing
+            h, k, off, _, _ = columns[on].T
+            yield pa.RecordBatch.from_pydict({"h": h, "k": k, "a": a[on] + off, "b": b[on] + off, "least": least[on]})
+
+    runs = written(sorting.repartition(parts, "key").mapInArrow(run, "h long, k long, a long, b long, least long"), "runs")
     drop(distinct)
-    _settle(spark)
     covered = occ.select("id", "x", "pos", "h", "k").join(runs, ["h", "k"]).where("least < id").select("id", "x", (F.col("pos") + F.col("a")).alias("s"), (F.col("pos") + F.col("b") + length).alias("e"))
     # one document's spans, merged; as many as its own text can hold
     spans = covered.groupBy("id", "x").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("all"))
 
     def merged(batches):
-        for pdf in batches:
+        kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+        for batch in batches:
             out = []
-            for found in pdf["all"]:
+            for found in batch.column("all").to_pylist():
                 own = []
                 for s, e in ((v["s"], v["e"]) for v in found):
                     if own and own[-1][1] >= s:
@@ -525,38 +881,42 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     else:
                         own.append((s, e))
                 out.append([{"s": s, "e": e} for s, e in own])
-            yield pd.DataFrame({"id": pdf["id"], "x": pdf["x"], "spans": out})
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "x": batch.column("x"), "spans": pa.array(out, kind)})
 
     kind = "id long, x long, spans array<struct<s:long,e:long>>"
     gone = copies.select("id", "x", F.array(F.struct(F.lit(0).cast("long").alias("s"), F.col("n").alias("e"))).alias("spans"))
-    out = written(spans.mapInPandas(merged, kind).unionByName(gone), "spans")
-    drop(occ)
-    drop(runs)
+    out = written(spans.mapInArrow(merged, kind).unionByName(gone), "spans")
+    for table in (occ, runs, copies):
+        drop(table)
     return out
 
 
 def remove(docs: DataFrame, spans: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    rows = _keyed(docs, doc_id, text).withColumn("doc_id", F.when(F.col("id") != NULL_ID, F.col("id")))
+    import pyarrow as pa
+
+    rows = _keyed(docs, doc_id, text)
     # of most rows nothing goes: which do is known by their keys alone, and only those meet their spans
     keys = _counted(spans.select("id", "x", F.lit(True).alias("hit")), BROADCAST_IDS)
     marked = rows.join(keys, ["id", "x"], "left")
     whole = marked.where("hit is null").select("doc_id", F.octet_length("t").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(F.col("t").cast("binary"), 256).alias("kept_sha256"))
 
     def cut(batches):
-        for pdf in batches:
+        for batch in batches:
             out = []
-            for i, t, s in zip(pdf["doc_id"], pdf["t"], pdf["spans"]):
+            for t, s in zip(batch.column("t").to_pylist(), batch.column("spans").to_pylist()):
                 b, at, kept = t.encode("utf-8", "replace"), 0, []
                 for x in s:
                     kept.append(b[at : x["s"]])
                     at = x["e"]
                 kept = b"".join([*kept, b[at:]])
-                out.append((i, len(b), len(b) - len(kept), len(s), hashlib.sha256(kept).hexdigest()))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]).astype({"doc_id": "Int64"})
+                out.append((len(b), len(b) - len(kept), len(s), hashlib.sha256(kept).hexdigest()))
+            n_bytes, n_removed, n_spans, sha = zip(*out) if out else ((),) * 4
+            longs = {n: pa.array(v, pa.int64()) for n, v in (("n_bytes", n_bytes), ("n_removed", n_removed), ("n_spans", n_spans))}
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id")} | longs | {"kept_sha256": pa.array(sha, pa.string())})
 
     hit = marked.where("hit").join(spans, ["id", "x"])
-    return whole.unionByName(hit.select("doc_id", "t", "spans").mapInPandas(cut, whole.schema))
+    return whole.unionByName(hit.select("doc_id", "t", "spans").mapInArrow(cut, whole.schema))
 
 
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:
