@@ -56,6 +56,8 @@ def shared_dir(spark: SparkSession) -> str:
     where that is unset (tests), a temporary folder of this process."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="edgeloom-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -256,6 +258,36 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+# --- expressions -----------------------------------------------------------
+
+
+def bound(value, f):
+    """f(value) with value computed once, however often f's result names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+#: Elements of an array that are folded together before their results are joined to the rest.
+FOLD = 256
+
+
+def folded(items, state, step, kind: str):
+    """The results of a fold over an array, joined: step(state, item) gives a struct (state, out),
+    out an array of the type `kind`. Results are joined in two steps, so that a long array isn't
+    copied for each of its items."""
+    none = F.array().cast(kind)
+
+    def grow(acc, got):
+        return bound(got, lambda r: F.struct(r["state"].alias("state"), F.concat(acc["out"], r["out"]).alias("out")))
+
+    def within(acc, part):
+        first = F.struct(acc["state"].alias("state"), none.alias("out"))
+        return grow(acc, F.aggregate(part, first, lambda a, x: grow(a, step(a["state"], x))))
+
+    starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(items) / FOLD).cast("int") - 1, F.lit(0)))
+    parts = F.transform(starts, lambda i: F.slice(items, i * FOLD + 1, F.lit(FOLD)))
+    return F.aggregate(parts, F.struct(state.alias("state"), none.alias("out")), within, lambda acc: acc["out"])
+
+
 # --- words and shingles ----------------------------------------------------
 
 
@@ -336,7 +368,3 @@ def components(links: DataFrame, name: str = "cc") -> DataFrame:
     out = written(edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()), name)
     drop(edges)
     return out
-
-
-def safe_name(text: str) -> str:
-    return re.sub(r"\W+", "_", text)
