@@ -129,7 +129,7 @@ def radar_nodes(spark: SparkSession, d: str) -> DataFrame:
     return risks.radar(few(spark, d), g.degree_vectors(g.trade(spark, d)), 5).select("node", F.round("throughput", 6).alias("throughput"), F.round("fanout", 6).alias("fanout"))
 
 
-_BAR = lambda name, c: f"printf('%-14s', '{name}') || repeat('█', floor({c} * 20)::INT) || repeat('░', 20 - floor({c} * 20)::INT) || ' ' || printf('%.3f', {c})"
+_BAR = lambda name, c: f"printf('%-14s', '{name}') || repeat('█', floor({c} * 20)::INT) || repeat('░', 20 - floor({c} * 20)::INT) || ' ' || printf('%.3f', round({c}, 3))"
 
 
 @query(f"{TRADE} SELECT node, {' || chr(10) || '.join(_BAR(x, x) for x in ('throughput', 'criticality', 'fanout'))} AS card FROM v")
