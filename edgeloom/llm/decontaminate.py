@@ -31,7 +31,6 @@ from __future__ import annotations
 import functools
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -263,31 +262,34 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     """A row for each document and item whose passage it holds: doc_id, item_id,
     n_windows (of the item's, found), first_start, last_end (in the normalised text),
     edits (the least of a window). Documents without a leak have no row."""
+    import pyarrow as pa
+
     spark = docs.sparkSession
     ship(spark)
     schema = "doc_id long, item_id long, n_windows long, first_start long, last_end long, edits long"
 
+    names = [x.split()[0] for x in schema.split(", ")]
+
     def scan(windows: Windows):
         def run(batches):
-            for pdf in batches:
+            for batch in batches:
                 rows = []
-                for i, t in zip(pdf["i"], pdf["t"]):
-                    if not isinstance(t, str) or not t:
+                for i, t in zip(batch.column("i").to_pylist(), batch.column("t")):
+                    if not (t := t.as_py()):
                         continue
                     by: dict[int, list] = {}
                     for v, s, e, d in matches(t, windows):
                         by.setdefault(windows.owner(v), []).append((v, s, e, d))
                     for item, m in sorted(by.items(), key=lambda x: (x[0] is not None, x[0] or 0)):
-                        rows.append((None if pd.isna(i) else int(i), item, len({x[0] for x in m}), min(max(0, x[1]) for x in m), max(x[2] for x in m), min(x[3] for x in m)))
-                out = pd.DataFrame(rows, columns=[x.split()[0] for x in schema.split(", ")])
-                yield out.astype({c: "Int64" for c in out.columns})
+                        rows.append((i, item, len({x[0] for x in m}), min(max(0, x[1]) for x in m), max(x[2] for x in m), min(x[3] for x in m)))
+                yield pa.RecordBatch.from_pydict({n: pa.array([r[k] for r in rows], pa.int64()) for k, n in enumerate(names)})
 
         return run
 
     rows = docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).alias("t"))
     out = None
     for items in _blocks(benchmark, item_id, item_text, block_chars):
-        got = rows.mapInPandas(scan(Windows(items, q, window, edits, least)), schema)
+        got = rows.mapInArrow(scan(Windows(items, q, window, edits, least)), schema)
         out = got if out is None else out.unionByName(got)
     return out if out is not None else spark.createDataFrame([], schema)
 
