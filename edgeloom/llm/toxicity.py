@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import drop, ship, written
 
 #: Labelled rows used to learn from, the smallest by a hash of their id, and terms learned from them.
 TRAIN_ROWS = 24_000
@@ -218,7 +218,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     if len({r["y"] for r in picked}) < 2:
         return Grammar(seeds(), coef=PRIOR)
     chosen = spark.createDataFrame([(int(r["doc_id"]), int(r["y"])) for r in picked], "__id long, y int")
-    rows = docs.select(F.col(doc_id).cast("long").alias("__id"), F.col(text).alias("t")).join(F.broadcast(chosen), "__id").select("t", "y", (F.pmod(F.xxhash64("__id"), F.lit(2)) == 0).alias("half"))
+    # written once: halves, sizes, term counts and features all read these few rows
+    rows = written(docs.select(F.col(doc_id).cast("long").alias("__id"), F.col(text).alias("t")).join(F.broadcast(chosen), "__id").select("t", "y", (F.pmod(F.xxhash64("__id"), F.lit(2)) == 0).alias("half")), "training")
 
     def lexicon(part: DataFrame) -> Grammar:
         size = part.agg(F.sum("y"), F.count("*")).first()
@@ -244,6 +245,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         ys.append(y)
     grammar = lexicon(rows)
     grammar.coef = logistic(np.concatenate(xs), np.concatenate(ys))
+    drop(rows)
     return grammar
 
 
