@@ -151,14 +151,17 @@ def _blocks(h: np.ndarray, d: np.ndarray, ids: np.ndarray, shards: int) -> list[
     """(shard, hashes, doc, ids) of a block's anchors h, each once for a document d: packed
     hashes in order, the index of each one's document, and the identifiers of these. Shard -1
     has the anchors that two documents of the block hold; their extremes go on to others too."""
+    both = np.sort(h << np.uint64(16) | d.astype(np.uint64))  # 40 bits of hash, 16 of the document's index
+    h, d = both >> np.uint64(16), (both & np.uint64(0xFFFF)).astype(np.int64)
     own = ids[d]
-    order = np.lexsort((own, h))
-    h, d, own = h[order], d[order], own[order]
     start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-    last = np.append(start[1:], len(h)) - 1
-    several = own[start] < own[last]
-    known = np.repeat(several, last - start + 1)
-    on = np.unique(np.concatenate([start, last[several]]))
+    size = np.diff(np.append(start, len(h)))
+    low, high = np.minimum.reduceat(own, start), np.maximum.reduceat(own, start)
+    known = np.repeat(low < high, size)
+    # one entry with the smallest identifier and one with the largest
+    first = np.flatnonzero(own == np.repeat(low, size))
+    last = np.flatnonzero(known & (own == np.repeat(high, size)))
+    on = np.sort(np.concatenate([first[np.concatenate([[True], h[first[1:]] != h[first[:-1]]])], last[np.concatenate([[True], h[last[1:]] != h[last[:-1]]])] if len(last) else last]))
 
     def packed(shard: int, pick: np.ndarray) -> tuple[int, bytes, bytes, bytes]:
         docs, index = np.unique(d[pick], return_inverse=True)
@@ -231,11 +234,11 @@ def _shared(packed: DataFrame, shards: int) -> DataFrame:
         if found:
             h, own = (np.concatenate(x) for x in zip(*found))
             del found
-            order = np.lexsort((own, h))
+            order = np.argsort(h)
             h, own = h[order], own[order]
             start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
-            size = np.diff(np.append(start, len(h)))
-            on = np.repeat(own[start] < own[start + size - 1], size)
+            several = np.minimum.reduceat(own, start) < np.maximum.reduceat(own, start) if len(h) else np.empty(0, bool)
+            on = np.repeat(several, np.diff(np.append(start, len(h))))
             yield from out(h[on], own[on])
 
     kind = "id long, h long"
@@ -456,6 +459,10 @@ def _range_min(common: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nd
     return np.minimum.reduceat(padded, edges)[0::2]
 
 
+#: What is letter in four places of a text.
+LETTERS = np.uint64(0xFFFEFFFEFFFEFFFE)
+
+
 class External:
     """The order of the suffixes of a text on disk, to `depth` letters.
 
@@ -489,14 +496,27 @@ class External:
         return Rows(os.path.join(self.folder, self.name(what)), width, 2 * self.memory)
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Common prefix of pairs of suffixes, up to the depth."""
-        out, on = np.zeros(len(a), np.int64), np.arange(len(a))
-        for k in range(self.depth):
+        """Common prefix of pairs of suffixes, up to the depth: four letters at a time, then one by one."""
+        out, on, k = np.zeros(len(a), np.int64), np.arange(len(a)), 0
+        if self.t.dtype == np.uint16:
+            four = np.ndarray(self.n - 3, np.uint64, self.t, 0, (2,))  # the letters from each place on
+            apart = []
+            while len(on) and k + 4 <= self.depth:
+                same = ((four[a[on] + k] ^ four[b[on] + k]) & LETTERS) == 0
+                apart.append(on[~same])
+                on = on[same]
+                out[on] += 4
+                k += 4
+            for n, rest in enumerate(apart):
+                self._common_on(a, b, out, rest, 4 * n, 4 * n + 4)
+        self._common_on(a, b, out, on, k, self.depth)
+        return out
+
+    def _common_on(self, a, b, out, on, k: int, end: int) -> None:
+        while k < end and len(on):
             on = on[self.t[a[on] + k] >> 1 == self.t[b[on] + k] >> 1]
-            if not len(on):
-                break
             out[on] += 1
-        return out
+            k += 1
 
     # starred suffixes: S after L
 
@@ -531,7 +551,7 @@ class External:
 
     def sort_stars(self, rows: Rows, k: int, out) -> None:
         """Give out(places, new) in the order of substrings, where new marks the first of equal ones."""
-        if rows.n <= self.memory:
+        if rows.n <= 2 * self.memory:
             if rows.n:
                 out(*self.sort_block(np.array(rows.at), k))
             rows.drop()
@@ -564,7 +584,7 @@ class External:
 
     def sort_block(self, part: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         v = self.keys(part, k)
-        order = np.argsort(v, kind="stable")
+        order = np.argsort(v)
         part, v = part[order], v[order]
         new = np.concatenate([[True], v[1:] != v[:-1]])
         for k in range(k + self.step(), self.depth, self.step()):
@@ -729,7 +749,7 @@ def sorted_names(folder: str, word: np.ndarray, depth: int, memory: int, level:
         key = rank * (int(rank.max()) + 1) + far
         new = np.unique(key, return_inverse=True)[1]
         rank, width = np.where(rank > 0, new + 1, 0), 2 * width
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     yield order[np.searchsorted(rank[order], 0, side="right") :]
 
 
