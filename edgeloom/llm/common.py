@@ -338,14 +338,49 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
 # --- connected components --------------------------------------------------
 
 
-def components(links: DataFrame, name: str = "cc") -> DataFrame:
+#: Up to so many links (16 bytes each) one task finds the components; more go through rounds. The result is the same.
+ONE_TASK_LINKS = 500_000
+
+
+def _joined_rows(batches):
+    """(node, comp) of all links (u, v), by union and find; comp is the smallest node."""
+    import pyarrow as pa
+
+    found = [(b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches]
+    if not found:
+        return
+    ends = np.concatenate([np.concatenate(x) for x in zip(*found)])
+    nodes, at = np.unique(ends, return_inverse=True)
+    over = list(range(len(nodes)))  # a node's way to its root, which is the smallest of its component
+    half = len(ends) // 2
+    for a, b in zip(at[:half].tolist(), at[half:].tolist()):
+        while over[a] != a:
+            over[a] = a = over[over[a]]
+        while over[b] != b:
+            over[b] = b = over[over[b]]
+        if a < b:
+            over[b] = a
+        elif b < a:
+            over[a] = b
+    for i, a in enumerate(over):  # roots come before what they are the roots of
+        over[i] = over[a]
+    for lo in range(0, len(nodes), 100_000):
+        yield pa.RecordBatch.from_pydict({"node": nodes[lo : lo + 100_000], "comp": nodes[np.array(over[lo : lo + 100_000], np.int64)]})
+
+
+def components(links: DataFrame, name: str = "cc", one_task: int | None = None) -> DataFrame:
     """(node, comp) for every node of links (u, v): comp is the smallest node it reaches.
 
     Large-star and small-star rounds (Kiveris et al. 2014) on DataFrames; each round
     is a written table, and a round's work is linear in the links. A node's
     neighbours meet only in min() aggregates and equi-joins, so a hub is no problem.
+    Few links, counted first, go through one task on an executor.
     """
     edges = written(links.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v").distinct(), name)
+    if edges.count() <= (ONE_TASK_LINKS if one_task is None else one_task):
+        out = written(edges.coalesce(1).mapInArrow(_joined_rows, "node long, comp long"), name)
+        drop(edges)
+        return out
 
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
