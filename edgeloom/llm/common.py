@@ -67,11 +67,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/edgeloom/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts lineage and outlives executors."""
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """df as a Parquet table in the shared folder: cuts lineage and outlives executors. The codec is the session's, if
+    none is named."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     out = spark.read.schema(df.schema).parquet(path)
     out._edgeloom_path = path
     return out

@@ -15,8 +15,10 @@ A text that a smaller document has too, whole, goes at once and takes no further
    one, with their smallest document (combined before the shuffle), so a text that a
    third of all documents copy is sorted once. An anchor with more than `HOT` different
    segments is spread by the bytes beside it: each of its windows holds 13 of them on one side.
-3  Sorting. A shard's distinct segments stream into a text on disk, and its suffix array with
-   common prefix lengths comes by induced sorting there (`External`): substrings between
+3  Sorting. A shard's distinct segments stream into a text on disk, without the sides whose 13
+   bytes beside the anchor one document has alone, as nothing there repeats (`Sides`). Its suffix
+   array with common prefix lengths comes by induced sorting there (`External`), for the suffixes
+   that are windows and the few that these are induced from: substrings between
    starred suffixes are sorted by distribution over files and named; the string of names
    is sorted by recursion, or in memory once it has at most `BASE` times `memory` names;
    L-suffixes and then S-suffixes follow from priority queues on disk ordered by (first
@@ -47,7 +49,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_rows, binary, drop, mix, ship, written
+from .common import batch_rows, drop, ship, written
 
 LENGTH, Q = 50, 24
 #: Anchors of one shard and bytes of segments of one, about.
@@ -58,10 +60,12 @@ MEMORY, BASE = 500_000, 4
 #: Different segments beyond which an anchor is spread, and the bytes beside it that spread it.
 HOT, BESIDE = 20_000, 13
 #: Bytes of text whose anchors are found at a time, anchors of a block, and rows given on together.
-CHUNK, BLOCK, ROWS = 1 << 20, 400_000, 100_000
+CHUNK, BLOCK, ROWS = 1 << 17, 400_000, 100_000
 #: Up to so many ids (16 MB) are broadcast to pick documents.
 BROADCAST_IDS = 1_000_000
 NULL_ID = (1 << 63) - 1
+#: Places of the table that tells which sides of a shard's segments several documents have.
+SLOTS = 1 << 20
 #: Anchor hashes keep their first 40 bits: chance equals only add segments to sort.
 CUT = np.uint64(24)
 
@@ -79,56 +83,81 @@ def _least(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def gram_hashes(b: np.ndarray, q: int) -> np.ndarray:
-    """Hash of the q bytes from each place on, by doubling and the bits of q."""
-    join = lambda x, y, f: x * np.uint64(f) + (y ^ (y >> np.uint64(29)))
-    h, width, out, done = b.astype(np.uint64) + np.uint64(0x9E37), 1, None, 0
-    while True:
-        if q & width:  # out is of `done` bytes; what it lacks is put before it
-            n = len(b) - (done + width) + 1
-            out = h[:n] if out is None else join(h[:n], out[width : width + n], 0xD6E8FEB86659FD93 + 2 * width)
-            done += width
-        if width * 2 > q:
-            return mix(out)
-        # a different odd factor at each width keeps places apart
-        h = join(h[:-width], h[width:], 0x9E3779B97F4A7C15 + 2 * width)
-        width *= 2
-
-
-def window_hashes(b: np.ndarray, length: int, q: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each q-gram, least hash of each window) of a text of `length` bytes or more."""
+    """Hash of the q bytes from each place on, eight at a time."""
+    width, n = min(q, 8), len(b) - q + 1
+    if width == 8:
+        word = np.array(np.ndarray(len(b) - 7, np.uint64, b, 0, (1,)))  # the eight bytes from each place on
+    else:
+        word = np.zeros(n, np.uint64)
+        for k in range(width):
+            word = word << np.uint64(8) | b[k : k + n]
+    h = word[:n] * np.uint64(0x9E3779B97F4A7C15)
+    for at in [*range(width, q - width, width), *([q - width] if q > width else [])]:
+        h ^= h >> np.uint64(32)
+        h += word[at : at + n]
+        h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(33)
+    h *= np.uint64(0xC4CEB9FE1A85EC53)
+    return h
+
+
+def _runs(b: np.ndarray, length: int, q: int, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each q-gram, least hash of each window, first window, last window, text) of the runs of windows with one
+    least hash, in texts that lie one after another in b and end at `ends`; the last may end beyond it."""
     h = gram_hashes(b, q)
-    return h, _least(h, length - q + 1)
-
-
-def anchor_hashes(b: np.ndarray, length: int, q: int) -> np.ndarray:
-    """The distinct least hashes of a text's windows, cut to their first 40 bits."""
-    least = window_hashes(b, length, q)[1]
-    first = np.concatenate([[True], least[1:] != least[:-1]])
-    return np.unique(least[first] >> CUT)
-
-
-def segments(b: np.ndarray, length: int, q: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, first window, last window, place of the anchor) of the occurrences of wanted anchors, in order. Of
+    least = _least(h, length - q + 1)
+    new = np.empty(len(least), bool)
+    new[0] = True
+    np.not_equal(least[1:], least[:-1], out=new[1:])
+    for edge in (ends, ends - length + 1):  # a text's first window, and the first that doesn't lie in it
+        new[edge[(edge > 0) & (edge < len(new))]] = True
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(least)) - 1
+    text = np.searchsorted(ends, first, side="right")
+    on = first + length <= ends[text]
+    return h, least, first[on], last[on], text[on]
+
+
+def anchor_hashes(b: np.ndarray, length: int, q: int, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(least hash, cut to its first 40 bits, text) of the runs of _runs."""
+    _, least, first, _, text = _runs(b, length, q, ends)
+    return least[first] >> CUT, text
+
+
+def segments(b: np.ndarray, length: int, q: int, ends: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(anchor hash, first window, last window, place of the anchor, text) of the occurrences of wanted anchors. Of
     equal least hashes in a window the last is the anchor: that depends on the window alone."""
-    h, least = window_hashes(b, length, q)
-    start = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    keys = least[start] >> CUT
+    h, least, first, last, text = _runs(b, length, q, ends)
+    keys = least[first] >> CUT
     on = wanted[np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)] == keys
-    own = np.flatnonzero(np.repeat(on, np.diff(np.append(start, len(least)))))
-    if not len(own):
-        return np.empty(0, np.uint64), own, own, own
-    place, todo = np.empty(len(own), np.int64), np.arange(len(own))
-    for back in range(length - q, -1, -1):
-        at = own[todo]
-        hit = h[at + back] == least[at]
-        place[todo[hit]] = at[hit] + back
-        todo = todo[~hit]
-        if not len(todo):
-            break
-    cut = np.flatnonzero((np.diff(place) != 0) | (np.diff(own) != 1)) + 1
-    begin = np.concatenate([[0], cut])
-    first, last = own[begin], own[np.concatenate([cut, [len(own)]]) - 1]
-    return least[first] >> CUT, first, last, place[begin]
+    first, last, text = first[on], last[on], text[on]
+    value = least[first]
+
+    def met(start: np.ndarray, value: np.ndarray, sign: int) -> np.ndarray:
+        """The place nearest to each start where the hash is the value, among those of a window."""
+        place, todo = np.empty(len(start), np.int64), np.arange(len(start))
+        for k in range(length - q + 1):
+            at = start[todo] + sign * k
+            hit = h[at] == value[todo]
+            place[todo[hit]] = at[hit]
+            todo = todo[~hit]
+            if not len(todo):
+                break
+        return place
+
+    place = met(last + length - q, value, -1)  # a run's last anchor, which most often is its only one
+    several = met(first, value, 1) < place
+    if several.any():
+        some = np.flatnonzero(several)
+        size = last[some] - first[some] + 1
+        begin = np.cumsum(size) - size
+        own = np.arange(size.sum()) - np.repeat(begin - first[some], size)
+        each, run = met(own + length - q, np.repeat(value[some], size), -1), np.repeat(some, size)
+        cut = np.concatenate([[0], np.flatnonzero((np.diff(each) != 0) | (np.diff(run) != 0)) + 1])
+        join = lambda x, y: np.concatenate([x[~several], y])
+        first, last, place = join(first, own[cut]), join(last, own[np.append(cut[1:], len(own)) - 1]), join(place, each[cut])
+        value, text = join(value, value[run[cut]]), join(text, text[run[cut]])
+    return value >> CUT, first, last, place, text
 
 
 def _packed(h: np.ndarray) -> bytes:
@@ -143,15 +172,25 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel().byteswap()
 
 
-def _bytes(text) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-8", "replace"), np.uint8) if isinstance(text, str) else np.empty(0, np.uint8)
+def _chunks(column, length: int):
+    """Of an Arrow column of texts: (place, bytes from there on, ends of its texts from there on), where each window
+    of `length` bytes starts in one of them."""
+    import pyarrow as pa
+
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    places = np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    b = np.frombuffer(column.buffers()[2] or b"", np.uint8)[places[0] : places[-1]]
+    ends = places[1:] - places[0]
+    for a in range(0, len(b) - length + 1, CHUNK):
+        yield a, b[a : a + CHUNK + length - 1], ends - a
 
 
 def _blocks(h: np.ndarray, d: np.ndarray, ids: np.ndarray, shards: int) -> list[tuple[int, bytes, bytes, bytes]]:
-    """(shard, hashes, doc, ids) of a block's anchors h, each once for a document d: packed
+    """(shard, hashes, doc, ids) of a block's anchors h of documents d: packed
     hashes in order, the index of each one's document, and the identifiers of these. Shard -1
     has the anchors that two documents of the block hold; their extremes go on to others too."""
     both = np.sort(h << np.uint64(16) | d.astype(np.uint64))  # 40 bits of hash, 16 of the document's index
+    both = both[np.concatenate([[True], both[1:] != both[:-1]])]
     h, d = both >> np.uint64(16), (both & np.uint64(0xFFFF)).astype(np.int64)
     own = ids[d]
     start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
@@ -180,25 +219,28 @@ def _anchor_rows(docs: DataFrame, length: int, q: int, shards: int) -> DataFrame
     kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
 
     def run(batches):
-        hs, ix, ids, held = [], [], [], 0
+        hs, ix, ids, held, n = [], [], [], 0, 0
 
         def flush():
-            rows = _blocks(np.concatenate(hs), np.concatenate(ix), np.array(ids, np.int64), shards)
+            rows = _blocks(np.concatenate(hs), np.concatenate(ix), np.concatenate(ids), shards)
             return pa.RecordBatch.from_pydict({n: pa.array(c, k) for n, k, c in zip(names, kinds, zip(*rows))})
 
-        for batch in batches:
-            for i, t in zip(batch.column("id").to_pylist(), batch.column("t").to_pylist()):
-                b = _bytes(t)
-                if len(b) < length:
+        for batch in (whole.slice(a, 10_000) for whole in batches for a in range(0, whole.num_rows, 10_000)):
+            own = batch.column("id").to_numpy()
+            for _, part, ends in _chunks(batch.column("t"), length):
+                h, text = anchor_hashes(part, length, q, ends)
+                if not len(h):
                     continue
-                own = np.unique(np.concatenate([anchor_hashes(b[a : a + CHUNK + length - 1], length, q) for a in range(0, len(b) - length + 1, CHUNK)]))
-                hs.append(own)
-                ix.append(np.full(len(own), len(ids), np.int64))
-                ids.append(i)
-                held += len(own)
-                if held > BLOCK or len(ids) == 60_000:
+                more = not hs or ids[-1] is not own
+                if hs and (held + len(h) > BLOCK or n + more * len(own) > 60_000):
                     yield flush()
-                    hs, ix, ids, held = [], [], [], 0
+                    hs, ix, ids, held, n, more = [], [], [], 0, 0, True
+                if more:
+                    ids.append(own)
+                    n += len(own)
+                hs.append(h)
+                ix.append(text + (n - len(own)))
+                held += len(h)
         if held:
             yield flush()
 
@@ -256,29 +298,32 @@ def _segments(docs: DataFrame, length: int, q: int) -> DataFrame:
 
     def run(batches):
         names, kinds = ("id", "x", "pos", "h", "at"), (*[pa.int64()] * 4, pa.int32())
+
+        def rows(held, segs):
+            columns = {n: pa.array(np.concatenate(v), k, safe=False) for n, v, k in zip(names, zip(*held), kinds)}
+            return pa.RecordBatch.from_pydict(columns | {"seg": pa.array(segs, pa.binary())})
+
         for batch in batches:
-            held, segs = [[] for _ in names], []
-            column = batch.column("hs")
-            places, hashes = column.offsets.to_numpy(), column.values.to_numpy().view(np.uint64)
-            for i, x, t, lo, hi in zip(batch.column("id").to_pylist(), batch.column("x").to_pylist(), batch.column("t").to_pylist(), places[:-1], places[1:]):
-                b = _bytes(t)
-                wanted = np.unique(hashes[lo:hi])
-                for a in range(0, max(0, len(b) - length + 1), CHUNK):
-                    part = b[a : a + CHUNK + length - 1]
-                    raw = part.tobytes()
-                    h, first, last, at = segments(part, length, q, wanted)
-                    for own, value in zip(held, (np.full(len(h), i), np.full(len(h), x), a + first, h.view(np.int64), at - first)):
-                        own.append(value)
-                    segs += [raw[p:e] for p, e in zip(first.tolist(), (last + length).tolist())]
+            held, segs = [], []
+            wanted = np.unique(batch.column("hs").flatten().to_numpy().view(np.uint64))  # a shared anchor is one wherever it stands
+            ids, keys = batch.column("id").to_numpy(), batch.column("x").to_numpy()
+            for a, part, ends in _chunks(batch.column("t"), length):
+                raw = part.tobytes()
+                h, first, last, at, text = segments(part, length, q, ends, wanted)
+                begin = np.concatenate([[-a], ends[:-1]])[text]
+                held.append((ids[text], keys[text], first - begin, h.view(np.int64), at - first))
+                segs += [raw[p:e] for p, e in zip(first.tolist(), (last + length).tolist())]
+                if len(segs) > ROWS:
+                    yield rows(held, segs)
+                    held, segs = [], []
             if segs:
-                columns = {n: pa.array(np.concatenate(v), k, safe=False) for n, v, k in zip(names, held, kinds)}
-                yield pa.RecordBatch.from_pydict(columns | {"seg": pa.array(segs, pa.binary())})
+                yield rows(held, segs)
 
     return docs.select("id", "x", "t", "hs").mapInArrow(run, "id long, x long, pos long, h long, at int, seg binary")
 
 
 def spread(segs: DataFrame, length: int, q: int, hot: int = HOT) -> DataFrame:
-    """(h, k, off, key, seg, least, most) from (h, k, at, seg, least, most): what is sorted
+    """(h, k, off, at, key, seg, least, most) from (h, k, at, seg, least, most): what is sorted
     together has one key. Segments of hot anchors become two, of the windows with at least
     BESIDE bytes after the anchor and of the others, which have as many before it."""
     count = segs.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("h", F.lit(True).alias("hot"))
@@ -288,12 +333,12 @@ def spread(segs: DataFrame, length: int, q: int, hot: int = HOT) -> DataFrame:
     # windows that start at `cut` or after it have at most length - q - BESIDE bytes before the anchor
     cut = F.greatest(F.lit(0), at - (length - q - BESIDE))
     key = lambda side, x: F.xxhash64("h", F.lit(side), x)
-    whole = F.struct(F.lit(0).alias("off"), F.col("h").alias("key"), F.col("seg").alias("seg"))
-    after = F.struct(cut.cast("int").alias("off"), key(1, sub(at + q, at + q + BESIDE)).alias("key"), sub(cut, n).alias("seg"))
-    before = F.struct(F.lit(0).alias("off"), key(2, sub(at - BESIDE, at)).alias("key"), sub(F.lit(0), F.least(n, cut - 1 + length)).alias("seg"))
+    whole = F.struct(F.lit(0).alias("off"), at.alias("at"), F.col("h").alias("key"), F.col("seg").alias("seg"))
+    after = F.struct(cut.cast("int").alias("off"), (at - cut).cast("int").alias("at"), key(1, sub(at + q, at + q + BESIDE)).alias("key"), sub(cut, n).alias("seg"))
+    before = F.struct(F.lit(0).alias("off"), at.alias("at"), key(2, sub(at - BESIDE, at)).alias("key"), sub(F.lit(0), F.least(n, cut - 1 + length)).alias("seg"))
     parts = F.when(F.col("hot").isNull(), F.array(whole)).otherwise(F.filter(F.array(F.when(n - cut >= length, after), F.when(cut > 0, before)), lambda x: x.isNotNull()))
     out = both.select("h", "k", "least", "most", F.explode(parts).alias("p"))
-    return out.select("h", "k", F.col("p.off").alias("off"), F.col("p.key").alias("key"), F.col("p.seg").alias("seg"), "least", "most")
+    return out.select("h", "k", F.col("p.off").alias("off"), F.col("p.at").alias("at"), F.col("p.key").alias("key"), F.col("p.seg").alias("seg"), "least", "most")
 
 
 # --- 3: external induced sorting ---------------------------------------------------
@@ -468,15 +513,20 @@ class External:
 
     The text is a file of letters, where zeros separate parts and at least depth + 8 of
     them end it; suffixes that start with a zero are left out. It is kept as
-    2 * letter + type, type 1 for S-suffixes (smaller than the next) and for zeros."""
+    2 * letter + type, type 1 for S-suffixes (smaller than the next) and for zeros.
+    With `whole` unset, the suffixes with fewer than `depth` letters before their zero are
+    left out too, but for those right of a part's last asked one up to the next starred
+    suffix: that, or the zero, is what the part's suffixes are induced from."""
 
-    def __init__(self, folder: str, letters: np.ndarray, depth: int, memory: int, level: int = 0):
+    def __init__(self, folder: str, letters: np.ndarray, depth: int, memory: int, level: int = 0, whole: bool = True):
         self.folder, self.depth, self.memory, self.level, self.n = folder, depth, memory, level, len(letters)
         # common prefixes are carried where they are asked for; in the string of names the order is enough
         self.carry = level == 0
         self.most = 0
         self.t = room(folder, f"text-{level}", self.n, memory, np.int64 if level else np.uint16)
-        after, kind = 0, 1
+        # where induction starts, of starred suffixes and zeros, and (until that is known) which suffixes aren't asked for
+        self.start = None if whole else room(folder, f"start-{level}", self.n, memory, bool)
+        after, kind, zero = 0, 1, self.n
         for a in range((self.n - 1) // memory * memory, -1, -memory):  # types come from the right
             x = np.append(np.array(letters[a : a + memory], np.int64), after)
             self.most = max(self.most, int(x.max()))
@@ -486,6 +536,11 @@ class External:
                 up[: differ[-1] + 1] = np.repeat(x[differ] < x[differ + 1], np.diff(np.concatenate([[-1], differ])))
             up |= x[:-1] == 0
             self.t[a : a + memory] = 2 * x[:-1] + up
+            if not whole:
+                at = np.arange(a, a + len(up))
+                end = np.minimum.accumulate(np.where(x[:-1] == 0, at, zero)[::-1])[::-1]
+                self.start[a : a + memory] = end < at + depth
+                zero = int(end[0])
             after, kind = int(x[0]), int(up[0])
 
     def name(self, what: str) -> str:
@@ -522,13 +577,18 @@ class External:
 
     def stars(self) -> Rows:
         """(place, place where its substring ends: the next starred suffix or zero), in order."""
-        rows, open_, before = self.rows("stars", 2), np.empty(0, np.int64), 1
+        rows, open_, before, late = self.rows("stars", 2), np.empty(0, np.int64), 1, False
         for a in range(0, self.n, self.memory):
             x = np.array(self.t[a : a + self.memory], np.int64)
             s = (x & 1).astype(bool)
             star = s & ~np.concatenate([[bool(before & 1)], s[:-1]]) & (x > 1)
             before = int(x[-1])
             event = np.flatnonzero(star | (x <= 1)) + a
+            if self.start is not None:  # none after a starred suffix that isn't asked for itself
+                past = np.append(late, self.start[event] & star[event - a])
+                self.start[a : a + self.memory] = False
+                self.start[event[~past[:-1]]] = True
+                late = past[-1]
             mine = np.concatenate([np.ones(len(open_), bool), star[event - a]])
             event = np.concatenate([open_, event])
             done = np.flatnonzero(mine[:-1])
@@ -610,17 +670,12 @@ class External:
             place.add(np.insert(part[:, 0], after, -1), np.zeros(len(part) + len(after), np.int64))
         place.done()
         n, count = rows.n, 0
-        stars = room(self.folder, self.name("at"), n, self.memory)
-        at = 0
-        for part in rows.blocks(self.memory):
-            stars[at : at + len(part)] = part[:, 0]
-            at += len(part)
-        names = room(self.folder, self.name("names"), n, self.memory)
+        names = room(self.folder, self.name("names"), self.n, self.memory)  # by place
         order = self.rows("order", 1)
 
         def out(places, new):
             nonlocal count
-            names[np.searchsorted(stars, places)] = count + np.cumsum(new)
+            names[places] = count + np.cumsum(new)
             count += int(new.sum())
             order.add(places)
 
@@ -629,14 +684,13 @@ class External:
         if count < n:  # equal substrings: what follows them decides
             word = room(self.folder, self.name("word"), place.n + self.depth + 8, self.memory)
             word[place.n :] = 0
-            at = done = 0
+            at = 0
             for part in place.blocks(self.memory):
                 on = part[:, 0] >= 0
-                k = int(on.sum())
                 own = np.zeros(len(part), np.int64)
-                own[on] = names[done : done + k]
+                own[on] = names[part[on, 0]]
                 word[at : at + len(part)] = own
-                at, done = at + len(part), done + k
+                at += len(part)
             order.drop()
             order = self.rows("order", 1)
             # each name stands for two letters at least
@@ -645,11 +699,12 @@ class External:
             order.done()
         seeds, last = self.rows("seeds", 3), np.empty(0, np.int64)
         for part in order.blocks(self.memory):
-            s, value = part[:, 0], np.zeros(len(part), np.int64)
+            s = part[:, 0] if self.start is None else part[self.start[part[:, 0]], 0]
+            value = np.zeros(len(s), np.int64)
             if self.carry:
                 both = np.concatenate([last, s])
                 value[len(s) - len(both) + 1 :] = self.common(both[1:], both[:-1])
-                last = s[-1:]
+                last = both[-1:]
             seeds.add(self.t[s] >> 1, s, value)
         order.drop()
         place.drop()
@@ -695,6 +750,7 @@ class External:
         if zeros:  # zeros end every part: what precedes one starts the scan
             for a in range(0, self.n, self.memory):
                 z = np.flatnonzero(self.t[a : a + self.memory] <= 1) + a
+                z = z if self.start is None else z[self.start[z]]
                 if len(z):
                     read(np.stack([np.zeros_like(z), z, np.zeros_like(z)], axis=1))
         while True:
@@ -764,33 +820,96 @@ def suffix_array(t: np.ndarray, depth: int, memory: int = MEMORY) -> tuple[np.nd
     return np.concatenate([s for s, _ in found]), np.concatenate([c for _, c in found])
 
 
-def smallest_documents(segs, length: int, memory: int = MEMORY):
-    """For segments in blocks (columns of ints, the last a segment's smallest document, and the
-    list of their bytes): blocks (columns of the segments, first window, last window,
-    smallest document) of runs of windows with one smallest document, in order."""
+class Sides:
+    """What documents hold the bytes beside an anchor: every window holds BESIDE of them on one side.
+
+    A side of a segment whose bytes one document has alone has no repeated window. Equal hashes
+    share a place in a table of fixed size, which only keeps more."""
+
+    def __init__(self, length: int, q: int):
+        self.length, self.q = length, q
+        self.known = length - q + 1 >= 2 * BESIDE >= 16  # else windows may hold less, and everything is kept
+        self.least, self.most = np.full(SLOTS, np.iinfo(np.int64).max), np.full(SLOTS, np.iinfo(np.int64).min)
+
+    def cut(self, at: np.ndarray) -> np.ndarray:
+        """The first window that holds BESIDE bytes after the anchor; those before it hold as many before it."""
+        return np.maximum(0, at - (self.length - self.q - BESIDE))
+
+    def add(self, text: np.ndarray, start, size, key, at, most, least) -> np.ndarray:
+        """Rows (slot of the bytes after, slot of those before), -1 for a side without windows, of segments of a text
+        that goes on for 8 bytes at least."""
+        word, cut = np.ndarray(len(text) - 7, np.uint64, text, 0, (1,)), self.cut(at)
+        out = np.full((len(start), 2), -1, np.int64)
+        if not self.known:
+            return out
+        for side, (on, place) in enumerate(((size - cut >= self.length, start + at + self.q), (cut > 0, start + at - BESIDE))):
+            h = key[on].view(np.uint64) + np.uint64(side)
+            for k in (0, BESIDE - 8):
+                h = (h ^ h >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93) + word[place[on] + k]
+            slot = ((h ^ h >> np.uint64(32)) * np.uint64(0xC4CEB9FE1A85EC53) >> np.uint64(33)).astype(np.int64) % SLOTS
+            np.minimum.at(self.least, slot, least[on])
+            np.maximum.at(self.most, slot, most[on])
+            out[on, side] = slot
+        return out
+
+    def kept(self, size, at, slots) -> tuple[np.ndarray, np.ndarray]:
+        """[lo, hi) of each segment that several documents may have, of no bytes if none."""
+        if not self.known:
+            return np.zeros_like(size), size
+        cut = self.cut(at)
+        after, before = ((x >= 0) & (self.least[x] < self.most[x]) for x in slots.T)
+        lo, hi = np.where(before, 0, cut), np.where(after, size, np.minimum(size, cut - 1 + self.length))
+        return lo, np.where(after | before, hi, lo)
+
+
+def smallest_documents(segs, length: int, q: int = Q, memory: int = MEMORY):
+    """For segments in blocks (columns of ints: what is sorted together, the anchor's place, any
+    others, a segment's largest and smallest document; and the list of their bytes): blocks
+    (columns of the segments, first window, last window, smallest document) of runs of
+    windows with one smallest document, in order, of windows that may be repeated."""
     with tempfile.TemporaryDirectory(prefix="edgeloom-", dir=scratch()) as folder:
-        info, n = None, 0
-        with open(os.path.join(folder, "letters"), "wb") as f:
+        given, n, sides = None, 0, Sides(length, q)
+        with open(os.path.join(folder, "bytes"), "wb") as f:
             for columns, raw in segs:
                 size = np.array([len(x) for x in raw], np.int64)
-                end = n + np.cumsum(size + 1)
-                info = info or Rows(os.path.join(folder, "info"), 2 + len(columns), 2 * memory)
-                info.add(end - size - 1, size, *columns)
-                x = np.frombuffer(b"\0".join(raw) + b"\0", np.uint8).astype(np.uint16) + 1
-                x[end - n - 1] = 0
-                f.write(x.tobytes())
-                n = int(end[-1]) if len(end) else n
-            f.write(bytes(2 * (length + 8)))
-        if info is None:
+                start = np.cumsum(size) - size
+                x = np.frombuffer(b"".join([*raw, bytes(8)]), np.uint8)
+                key, at, *_, most, least = columns = [c.astype(np.int64, copy=False) for c in columns]
+                given = given or Rows(os.path.join(folder, "given"), 4 + len(columns), 2 * memory)
+                given.add(n + start, size, *sides.add(x, start, size, key, at, most, least).T, *columns)
+                f.write(x[:-8].data)
+                n += len(x) - 8
+        if given is None:
             return
+        given.done()
+        raw = np.memmap(os.path.join(folder, "bytes"), np.uint8, "r", shape=(n,)) if n else np.empty(0, np.uint8)
+        step = max(1, memory // 64)
+        info, n = Rows(os.path.join(folder, "info"), given.width - 1, 2 * memory), 0
+        with open(os.path.join(folder, "letters"), "wb") as f:
+            for part in given.blocks(step):
+                lo, hi = sides.kept(part[:, 1], part[:, 5], part[:, 2:4])
+                on = hi > lo
+                part, lo, size = part[on], lo[on], (hi - lo)[on]
+                end = np.cumsum(size + 1)
+                begin = end - size - 1
+                info.add(n + begin, size, lo, *part[:, 4:].T)
+                x = np.zeros(int(size.sum()) + len(size), np.uint16)
+                inside = np.ones(len(x), bool)
+                inside[end - 1] = False
+                x[inside] = raw[np.arange(len(x))[inside] + np.repeat(part[:, 0] + lo - begin, size)].astype(np.uint16) + 1
+                f.write(x.data)
+                n += len(x)
+            f.write(bytes(2 * (length + 8)))
+        given.drop()
         info.done()
+        if not info.n:
+            return
         n += length + 8
-        text = External(folder, np.memmap(os.path.join(folder, "letters"), np.uint16, "r", shape=(n,)), length, memory)
+        text = External(folder, np.memmap(os.path.join(folder, "letters"), np.uint16, "r", shape=(n,)), length, memory, whole=False)
         # a window's document, by its place; other places have none
         none = np.iinfo(np.int64).max
         docs_at = room(folder, "docs", n, memory)
         docs_at[n - length - 8 :] = none
-        step = max(1, memory // 64)
         for a in range(0, info.n, step):
             part = np.array(info.at[a : a + step])
             count = np.stack([part[:, 1] - length + 1, np.full(len(part), length)], axis=1).ravel()
@@ -830,7 +949,8 @@ def smallest_documents(segs, length: int, memory: int = MEMORY):
             value = value[place + inside]
             begin = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (seg[1:] != seg[:-1])]))
             stop = np.append(begin[1:], len(seg)) - 1
-            yield part[seg[begin], 2:], inside[begin], inside[stop], value[begin]
+            lo = part[seg[begin], 2]
+            yield part[seg[begin], 3:], lo + inside[begin], lo + inside[stop], value[begin]
 
 
 # --- 4: spans -----------------------------------------------------------------------
@@ -868,40 +988,44 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     drop(anchors)
     held = shared.groupBy("id").agg(F.collect_set("h").alias("hs"))  # of one document's anchors
     some = rows.join(_counted(shared.select("id").distinct(), BROADCAST_IDS), "id", "left_semi")
-    occ = written(_segments(some.join(held, "id"), length, q).withColumn("k", F.xxhash64("seg")), "occurrences")
+    occ = written(_segments(some.join(held, "id"), length, q).withColumn("k", F.xxhash64("seg")), "occurrences", "zstd")
     drop(shared)
-    distinct = written(occ.groupBy("h", "k", "seg").agg(F.min("at").alias("at"), F.min("id").alias("least"), F.max("id").alias("most")), "distinct")
+    distinct = written(occ.groupBy("h", "k", "seg").agg(F.min("at").alias("at"), F.min("id").alias("least"), F.max("id").alias("most")), "distinct", "zstd")
     sorting = spread(distinct, length, q, hot)
     size = distinct.agg(F.sum(F.octet_length("seg")).alias("n")).first()["n"] or 0
     parts = 1 + int(size // SEGMENT_BYTES)
 
     def run(batches):
-        names = ("h", "k", "off", "most", "least")
+        names = ("key", "at", "h", "k", "off", "most", "least")
         blocks = (([batch.column(c).to_numpy() for c in names], batch.column("seg").to_pylist()) for batch in batches if batch.num_rows)
-        for columns, a, b, least in smallest_documents(blocks, length):
-            on = least < columns[:, 3]  # else it removes nothing
-            h, k, off, _, _ = columns[on].T
+        for columns, a, b, least in smallest_documents(blocks, length, q):
+            on = least < columns[:, 5]  # else it removes nothing
+            _, _, h, k, off, _, _ = columns[on].T
             yield pa.RecordBatch.from_pydict({"h": h, "k": k, "a": a[on] + off, "b": b[on] + off, "least": least[on]})
 
     runs = written(sorting.repartition(parts, "key").mapInArrow(run, "h long, k long, a long, b long, least long"), "runs")
     drop(distinct)
-    covered = occ.select("id", "x", "pos", "h", "k").join(runs, ["h", "k"]).where("least < id").select("id", "x", (F.col("pos") + F.col("a")).alias("s"), (F.col("pos") + F.col("b") + length).alias("e"))
+    # a span is one number: its start, and 31 bits of its size (texts have at most 2^31 bytes)
+    span = (F.col("pos") + F.col("a")) * F.lit(1 << 31) + (F.col("b") - F.col("a") + length)
+    covered = occ.select("id", "x", "pos", "h", "k").join(runs, ["h", "k"]).where("least < id").select("id", "x", span.alias("span"))
     # one document's spans, merged; as many as its own text can hold
-    spans = covered.groupBy("id", "x").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("all"))
+    spans = covered.groupBy("id", "x").agg(F.collect_set("span").alias("all"))
 
     def merged(batches):
-        kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
         for batch in batches:
-            out = []
-            for found in batch.column("all").to_pylist():
-                own = []
-                for s, e in ((v["s"], v["e"]) for v in found):
-                    if own and own[-1][1] >= s:
-                        own[-1] = (own[-1][0], max(own[-1][1], e))
-                    else:
-                        own.append((s, e))
-                out.append([{"s": s, "e": e} for s, e in own])
-            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "x": batch.column("x"), "spans": pa.array(out, kind)})
+            found = batch.column("all").flatten().to_numpy()
+            size = np.diff(batch.column("all").offsets.to_numpy())
+            doc = np.repeat(np.arange(len(size)), size)
+            by = np.lexsort((found, doc))
+            found, doc = found[by], doc[by]
+            s, e = found >> 31, (found >> 31) + (found & (2**31 - 1))
+            far = np.maximum.accumulate(e + (doc << 32)) if len(e) else e  # the end of what came before in the document
+            new = np.append(True, s[1:] + (doc[1:] << 32) > far[:-1])[: len(s)]
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(s))[: len(first)] - 1
+            own = pa.StructArray.from_arrays([pa.array(s[first]), pa.array(far[last] - (doc[last] << 32))], ["s", "e"])
+            places = np.searchsorted(doc[first], np.arange(len(size) + 1))
+            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), "x": batch.column("x"), "spans": pa.ListArray.from_arrays(pa.array(places, pa.int32()), own)})
 
     kind = "id long, x long, spans array<struct<s:long,e:long>>"
     gone = copies.select("id", "x", F.array(F.struct(F.lit(0).cast("long").alias("s"), F.col("n").alias("e"))).alias("spans"))

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +111,88 @@ def test_queue_keeps_little_in_memory(tmp_path):
     assert got == sorted(want) and not list(tmp_path.iterdir())
 
 
+def test_only_what_may_repeat_is_sorted(monkeypatch):
+    """Segments that share an anchor and one side, or nothing else, aren't sorted whole, and no repeat is lost."""
+    rng = random.Random(17)
+    some = lambda n: bytes(rng.choice(b"abcdefgh ") for _ in range(n))
+    gram, left, right = some(24), some(26), some(26)
+    segs = [(some(26) + gram + some(26), 26) for _ in range(300)]
+    segs += [(some(26 - n) + left[26 - n :] + gram + right[:m] + some(26 - m), 26) for n in range(0, 27, 2) for m in range(0, 27, 2)]
+    segs += [(left[k:] + gram + right, 26 - k) for k in range(27)]
+    docs = [rng.randrange(40) for _ in segs]
+    letters, given = [], []
+    real, order = suffix.External.__init__, suffix.External.order
+
+    def noted(self, folder, text, depth, memory, level=0, **options):
+        letters.extend([len(text)] if not level else [])
+        real(self, folder, text, depth, memory, level, **options)
+
+    def counted(self):
+        for part in order(self):
+            given.extend(part[0].tolist() if not self.level else [])
+            yield part
+
+    monkeypatch.setattr(suffix.External, "__init__", noted)
+    monkeypatch.setattr(suffix.External, "order", counted)
+    want = {}
+    for i, ((s, _), d) in enumerate(zip(segs, docs)):
+        for k in range(len(s) - 49):
+            want.setdefault(s[k : k + 50], []).append((d, i, k))
+    want = {(i, k): min(v)[0] for v in want.values() for d, i, k in v if min(v)[0] < d}
+    blocks = [
+        ([np.full(n, 5), np.array([x[1] for x in segs[a : a + n]]), np.arange(a, a + n), np.array(docs[a : a + n]), np.array(docs[a : a + n])], [x[0] for x in segs[a : a + n]])
+        for a, n in ((0, 200), (200, len(segs) - 200))
+    ]
+    for memory in (300, 1 << 20):
+        letters.clear()
+        given.clear()
+        got = {}
+        for columns, first, last, least in suffix.smallest_documents(blocks, 50, memory=memory):
+            for (_, _, i, d, _), a, b, x in zip(columns.tolist(), first.tolist(), last.tolist(), least.tolist()):
+                got |= {(i, k): x for k in range(a, b + 1) if x < d}
+        assert got == want
+        total = sum(len(s) for s, _ in segs)
+        assert len(letters) == 1 and letters[0] < total * 0.4
+        assert len(set(given)) == len(given) < letters[0] * 0.5
+
+
+def test_segments_of_texts_in_one_buffer(monkeypatch):
+    """Texts that lie one after another, cut anywhere: each window with a wanted anchor is in one segment, none joins two
+    texts, and equal windows have one anchor at one place."""
+    monkeypatch.setattr(suffix, "CHUNK", 97)
+    rng = random.Random(18)
+    passage = prose(rng, 40)
+    texts = ["x", "a" * 130, *(prose(rng, rng.randrange(40)) + passage[rng.randrange(99) :] + "é" * rng.randrange(9) for _ in range(12)), "a" * 70, "", passage]
+    column = pa.array(["before", *texts, "after" * 30]).slice(1, len(texts))
+    raw = [t.encode() for t in texts]
+    every = [suffix.anchor_hashes(part, 50, 24, ends) for _, part, ends in suffix._chunks(column, 50)]
+    wanted = np.unique(np.concatenate([h for h, _ in every]))[::2]
+    anchor, seen = {}, {}
+    for a, part, ends in suffix._chunks(column, 50):
+        begin = np.concatenate([[-a], ends[:-1]])
+        for h, first, last, at, text in zip(*(x.tolist() for x in suffix.segments(part, 50, 24, ends, wanted))):
+            for s in range(first, last + 1):
+                window = raw[text][s - begin[text] : s - begin[text] + 50]
+                assert len(window) == 50 and 0 <= at - s <= 26
+                assert (text, s - begin[text]) not in seen
+                seen[text, s - begin[text]] = h
+                assert anchor.setdefault(window, (h, at - s)) == (h, at - s)
+    keys = set(wanted.tolist())
+    for t, b in enumerate(raw):
+        for s in range(len(b) - 49):
+            h = int(suffix.gram_hashes(np.frombuffer(b[s : s + 50], np.uint8), 24).min() >> suffix.CUT)
+            assert (h in keys) == ((t, s) in seen)
+
+
+@pytest.mark.parametrize("q", [3, 8, 13, 24, 25])
+def test_gram_hashes(q):
+    rng = random.Random(q)
+    b = bytes(rng.choice(b"ab") for _ in range(3000)) + bytes(rng.choice(b"abc") for _ in range(9)) * 20
+    h = suffix.gram_hashes(np.frombuffer(b, np.uint8), q).tolist()
+    grams = [b[k : k + q] for k in range(len(b) - q + 1)]
+    assert len(h) == len(grams) and len(set(h)) == len(set(grams)) == len(set(zip(h, grams)))
+
+
 @pytest.mark.parametrize("options", [{"hot": 1}, {"per_shard": 60}, {"hot": 2, "per_shard": 200}])
 def test_repeats_of_hot_anchors(spark, options):
     rng = random.Random(15)
