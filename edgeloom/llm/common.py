@@ -45,6 +45,22 @@ def batch_rows(spark: SparkSession, rows: int):
         spark.conf.set(key, before)
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Shuffle files of what is written inside go as soon as it is, where Spark can do so (4.1); else they go when the
+    driver's JVM collects what refers to them."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    if not spark.conf.isModifiable(key):
+        yield
+        return
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def binary(column) -> np.ndarray:
     """The bytes of an Arrow column of bytes without nulls, one value after another."""
     places = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]

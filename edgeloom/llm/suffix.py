@@ -49,7 +49,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_rows, drop, ship, written
+from .common import batch_rows, drop, ship, shuffles_dropped
+from .common import written as written_table
 
 LENGTH, Q = 50, 24
 #: Anchors of one shard and bytes of segments of one, about.
@@ -963,6 +964,12 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(own.alias("doc_id"), F.coalesce(own, F.lit(NULL_ID)).alias("id"), F.xxhash64(t).alias("x"), t.alias("t"))
 
 
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """common.written, without the shuffle files that led to the table: each shuffle here is as large as the text."""
+    with shuffles_dropped(df.sparkSession):
+        return written_table(df, name, codec)
+
+
 def _counted(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 

@@ -3,6 +3,7 @@ small memory, hot anchors, long licence texts, many secrets, whole query functio
 
 import os
 import random
+import time
 import zlib
 
 import numpy as np
@@ -193,6 +194,25 @@ def test_gram_hashes(q):
     assert len(h) == len(grams) and len(set(h)) == len(set(grams)) == len(set(zip(h, grams)))
 
 
+def test_shuffles_of_written_tables_go(spark):
+    """A table's shuffle files go when it is written, not when the driver happens to collect garbage."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        found = disk.getAllFiles()
+        return {n for n in (found.apply(i).getName() for i in range(found.size())) if n.startswith("shuffle_")}
+
+    rows = spark.range(2000).selectExpr("id % 700 as k", "id").groupBy("k").agg(F.collect_list("id").alias("all"))
+    before = shuffled()
+    table = suffix.written(rows, "rows")
+    end = time.time() + 10
+    while (left := shuffled() - before) and time.time() < end:
+        time.sleep(0.1)
+    assert not left and table.count() == 700
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    common.drop(table)
+
+
 @pytest.mark.parametrize("options", [{"hot": 1}, {"per_shard": 60}, {"hot": 2, "per_shard": 200}])
 def test_repeats_of_hot_anchors(spark, options):
     rng = random.Random(15)
